@@ -105,6 +105,10 @@ class Words:
         """The index of each word's text."""
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
+    def left(self) -> np.ndarray:
+        """For each word the number of words from it to its text's end."""
+        return np.repeat(self.first[1:], self.counts) - np.arange(len(self.hash))
+
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all n-word runs and the indexes of their first words; no run crosses texts."""
         at = np.arange(len(self.hash))

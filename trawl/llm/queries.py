@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import lines, mixing, quality, sharding, token_counts, token_output
+from trawl.llm import decontamination, lines, lm, mixing, near_dedup, quality, sharding, suffix_array, token_counts, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,18 +19,34 @@ def _op2(spark, sf_dir):
     return mixing.mixing_order(_table(spark, sf_dir, "documents"))
 
 
+def _op3(spark, sf_dir):
+    return suffix_array.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def _op4(spark, sf_dir):
     return lines.page_line_dedup(_table(spark, sf_dir, "pages"))
 
 
+def _op5(spark, sf_dir):
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def _op6(spark, sf_dir):
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def _op7(spark, sf_dir):
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def _op8(spark, sf_dir):
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def _op9(spark, sf_dir):
+    return lm.lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def _op10(spark, sf_dir):
     return sharding.sharded(_table(spark, sf_dir, "documents"))
 
@@ -38,9 +54,13 @@ def _op10(spark, sf_dir):
 QUERIES = {
     "op1_token_output": _op1,
     "op2_mixing": _op2,
+    "op3_suffix_array": _op3,
     "op4_line_dedup": _op4,
+    "op5_near_dedup": _op5,
     "op6_quality_rules": _op6,
+    "op7_decontamination": _op7,
     "op8_token_counts": _op8,
+    "op9_lm_scores": _op9,
     "op10_sharding": _op10,
 }
 

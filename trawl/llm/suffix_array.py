@@ -8,16 +8,19 @@ order is emitted from the front: once a suffix has its place, those whose Lyndon
 prefix ends where it begins take the next places of their groups.
 
 The corpus is laid out so that equal windows of `min_words` words meet: a
-window's key is the least hash of the runs of half its length in it, which depends on
-nothing but its words, and consecutive windows of one key form a segment.  A key that occurs
-once holds no repeat.  The segments of the other keys are sorted, key by key;
-neighbours in the suffix array that share `min_words` words are repeats.  So
-each repeat of that length is found, by exact comparison of words.
+window's key is the least hash of the runs of half its length in it, which
+depends on nothing but its words, and consecutive windows of one key form a
+segment.  A key that occurs once holds no repeat.  The segments of the other
+keys are sorted, key by key; neighbours in the suffix array that share
+`min_words` words are repeats.  So each repeat of that length is found.  Equal
+segments, and documents of equal words, are sorted once and reported each.
 
 Words are runs of letters and digits, compared in lower case (ASCII).  A passage
 may repeat across documents or inside one.  The first occurrence, by doc_id and
-place, is the one that is kept.  Null texts and texts shorter than `min_words`
-have no repeats.  Rows equal in id and text count as one document.
+place, is the one that is kept; a document whose words all stand in an earlier
+one is one passage.  Words compare by 64-bit hashes.  Null texts and texts
+shorter than `min_words` have no repeats.  Rows equal in id and text count as
+one document; a null id sorts first.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,11 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trawl.llm.common import c, row_key
-from trawl.llm.hashing import U, Words, char_positions, slices, utf8
+from trawl.llm.hashing import U, Words, char_positions, mix, prefix, range_hash, slices, utf8
 from trawl.scratch import written
 
 MIN_WORDS = 50
-BATCH_WORDS = 400_000
+BATCH_BYTES = 4_000_000
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -47,40 +50,307 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     ranks = text[order]
     heads = np.flatnonzero(np.concatenate([[True], ranks[1:] != ranks[:-1]]))
     sizes = np.diff(np.append(heads, n))
-    group = np.empty(n, dtype=np.int64)
-    group[order] = np.repeat(np.arange(len(heads)), sizes)
-    group = group.tolist()
-    order = order.tolist()
+    at = np.empty(n, dtype=np.int64)
+    at[order] = np.repeat(np.arange(len(heads)), sizes)
+    group, order = at.tolist(), order.tolist()
     members = [order[a : a + k] for a, k in zip(heads.tolist(), sizes.tolist())]
+    # The groups from high to low; a new one goes right above the one that it leaves.
     below = list(range(-1, len(members) - 1))
-    final: list[int] = []
+    above = [*range(1, len(members)), -1]
+    alive = sizes.tolist()
+    final = []
     done = bytearray(n)
-    pointer = [-1] * n
+    pointer, jump = [-1] * n, [-1] * n
     top = len(members) - 1
     while top >= 0:
-        own = [i for i in members[top] if group[i] == top]
-        members[top] = own
-        if own:
-            final.append(top)
-            for i in own:
-                done[i] = 1
-            times: dict[int, int] = {}
-            for i in own:
-                j = i - 1
+        if not alive[top]:
+            top = below[top]
+            continue
+        own = members[top]
+        if len(own) != alive[top]:
+            own = members[top] = [i for i in own if group[i] == top]
+        final.append(top)
+        for i in own:
+            done[i] = 1
+        # Pointers never fall along a group, so equal ones follow one another.
+        times: dict[int, list[int]] = {}
+        last, run = -1, 0
+        for i in own:
+            j = i - 1
+            if j >= 0 and done[j]:
+                path = []
                 while j >= 0 and done[j]:
-                    j = pointer[j]
-                pointer[i] = j
-                if j >= 0:
-                    times[j] = times.get(j, 0) + 1
-            if len(times) == 1:
-                (j,) = times
+                    path.append(j)
+                    j = jump[j]
+                for x in path:
+                    jump[x] = j
+            pointer[i] = jump[i] = j
+            if j != last:
+                if last >= 0 and alive[group[last]] > 1:
+                    times.setdefault(run, []).append(last)
+                last, run = j, 0
+            run += 1
+        if last >= 0 and alive[group[last]] > 1:
+            times.setdefault(run, []).append(last)
+        for run in sorted(times, reverse=True) if len(times) > 1 else times:
+            made: dict[int, int] = {}
+            for j in times[run]:
                 old = group[j]
-                group[j] = len(members)
-                members.append([j])
-                below.append(old)
-                if top_below(below, top) == old:
-                    below[top] = group[j]
-                else:
-                    _insert(below, old, group[j], above)
+                new = made.get(old)
+                if new is None:
+                    new = made[old] = len(members)
+                    members.append([])
+                    alive.append(0)
+                    up = above[old]
+                    below.append(old)
+                    above.append(up)
+                    above[old] = new
+                    below[up] = new
+                members[new].append(j)
+                alive[old] -= 1
+                alive[new] += 1
+                group[j] = new
         top = below[top]
-    return np.array(final)
+    place = [0] * len(members)
+    start = 0
+    for g in reversed(final):
+        place[g] = start
+        start += len(members[g])
+    out = [-1] * n
+    put = bytearray(n)
+    for k in range(-1, n):
+        j = (n if k < 0 else out[k]) - 1
+        while j >= 0 and not put[j]:
+            put[j] = 1
+            g = group[j]
+            out[place[g]] = j
+            place[g] += 1
+            j = pointer[j]
+    return np.array(out, dtype=np.int64)
+
+
+def half_runs(words: Words, min_words: int) -> np.ndarray:
+    """Hashes of all runs of half the length of a window, those across texts included."""
+    starts = np.arange(max(0, len(words) - min_words // 2 + 1))
+    return range_hash(prefix(words.hash), starts, starts + min_words // 2)
+
+
+def window_keys(words: Words, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each run of `min_words` words its key and its first word's index; no run crosses texts."""
+    span = min_words - min_words // 2 + 1
+    if len(words) < min_words:
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    least, width = half_runs(words, min_words), 1
+    while width < span:
+        step = min(width, span - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    at = np.arange(len(words))[words.left() >= min_words]
+    return least[at], at
+
+
+def segments(words: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, first words and ends (in words) of the longest runs of windows that share a key."""
+    keys, at = window_keys(words, min_words)
+    if not len(keys):
+        return keys, at, at
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.flatnonzero(new)
+    return keys[first], at[first], at[np.append(first[1:], len(keys)) - 1] + min_words
+
+
+def twice(words: Words, keys: np.ndarray, first: np.ndarray, last: np.ndarray, min_words: int) -> np.ndarray:
+    """Whether a segment holds its key at two places, as it does when two of its windows are equal."""
+    if not len(keys):
+        return np.zeros(0, dtype=bool)
+    runs, n = half_runs(words, min_words), last - first - min_words // 2 + 1
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - first, n)
+    return np.add.reduceat((runs[at] == np.repeat(keys, n)).astype(np.int32), np.cumsum(n) - n) > 1
+
+
+def _signed(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, row key, content hashes, bounds in characters, segment keys of every text of `min_words` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(2))
+            for a, b in slices(offsets):
+                own = data[offsets[a] : offsets[b]]
+                words = Words(own, offsets[a : b + 1] - offsets[a])
+                has = np.flatnonzero(words.counts >= min_words)
+                if not len(has):
+                    continue
+                keys, first, last = segments(words, min_words)
+                again = 1 + twice(words, keys, first, last, min_words)
+                keys, first = np.repeat(keys, again), np.repeat(first, again)
+                cuts = np.searchsorted(first, words.first)
+                sums = np.zeros(len(words) + 1, dtype=U)
+                np.cumsum(mix(words.hash ^ U(0x5851F42D4C957F2D)), out=sums[1:])
+                head, tail = words.first[:-1][has], words.first[1:][has]
+                whole = range_hash(prefix(words.hash), head, tail)
+                chars = char_positions(own)
+                base = chars[offsets[a : b + 1] - offsets[a]][:-1][has]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(cuts[has], cuts[-1]), pa.int32()), pa.array(keys.view(np.int64)))
+                part = batch.slice(a, b - a).take(pa.array(has))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(whole.view(np.int64)), pa.array((sums[tail] - sums[head]).view(np.int64)), pa.array(chars[words.start[head]] - base), pa.array(chars[words.end[tail - 1]] - base), lists],
+                    ["doc_id", "row", "content", "content2", "start", "end", "keys"],
+                )
+
+    return docs.select(c("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), c("text").alias("text")).mapInArrow(run, "doc_id long, row long, content long, content2 long, start long, end long, keys array<long>")
+
+
+def _cut(texts: DataFrame, min_words: int) -> DataFrame:
+    """The segments of the wanted keys: key, doc_id, row, place (characters before it) and its text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(2))
+            lists = batch.column(3)
+            wanted, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+            for a, b in slices(offsets):
+                own = data[offsets[a] : offsets[b]]
+                words = Words(own, offsets[a : b + 1] - offsets[a])
+                keys, first, last = segments(words, min_words)
+                text = np.searchsorted(words.first, first, side="right") - 1
+                # A text's keys are matched as pairs of text and key.
+                ours = np.repeat(np.arange(b - a), np.diff(ends[a : b + 1]))
+                both = mix(keys + mix(text.astype(U)))
+                take = np.flatnonzero(np.isin(both, mix(wanted[ends[a] - ends[0] : ends[b] - ends[0]].view(U) + mix(ours.astype(U)))))
+                if not len(take):
+                    continue
+                chars = char_positions(own)
+                base = chars[offsets[a : b + 1] - offsets[a]]
+                begin, end, text = words.start[first[take]], words.end[last[take] - 1], text[take]
+                raw = own.tobytes()
+                for i in range(0, len(take), 20_000):
+                    few = slice(i, i + 20_000)
+                    part = batch.slice(a, b - a).take(pa.array(text[few]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys[take[few]].view(np.int64)), part.column(0), part.column(1), pa.array(chars[begin[few]] - base[text[few]]), pa.array([raw[x:y] for x, y in zip(begin[few].tolist(), end[few].tolist())], pa.binary())],
+                        ["key", "doc_id", "row", "place", "segment"],
+                    )
+
+    return texts.select("doc_id", "row", "text", "wanted").mapInArrow(run, "key long, doc_id long, row long, place long, segment binary")
+
+
+def repeats_of(ids: np.ndarray, rows: np.ndarray, places: np.ndarray, texts: pa.Array, min_words: int) -> list[tuple]:
+    """(segment, first segment's index, start, end in characters) of each run of repeated windows.
+
+    `ids`, `rows`, `places` order the segments' documents and places.
+    """
+    data, offsets = utf8(texts)
+    words = Words(data, offsets)
+    chars = char_positions(data)
+    shift = places - chars[offsets[:-1]]
+    whole = range_hash(prefix(words.hash), words.first[:-1], words.first[1:])
+    order = np.lexsort((places, rows, ids))
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    _, inverse = np.unique(whole, return_inverse=True)
+    least = np.full(inverse.max() + 1, len(order))
+    np.minimum.at(least, inverse, rank)
+    leader = order[least[inverse]]
+    kept = np.flatnonzero(leader == np.arange(len(order)))
+    # One text of the distinct segments, each ended by a mark of its own.
+    lengths = words.counts[kept]
+    starts = np.cumsum(lengths + 1) - lengths - 1
+    of = np.repeat(np.arange(len(kept)), lengths)
+    source = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + words.first[:-1][kept][of]
+    values = np.unique(words.hash[source], return_inverse=True)[1]
+    text = np.empty(int((lengths + 1).sum()), dtype=np.int64)
+    spot = np.arange(len(source)) + of
+    text[spot] = values + len(kept)
+    text[starts + lengths] = np.arange(len(kept))
+    array = suffix_array(text)
+    owner = np.full(len(text), -1)
+    owner[spot] = of
+    left = np.zeros(len(text), dtype=np.int64)
+    left[spot] = lengths[of] - (spot - starts[of])
+    array = array[left[array] >= min_words]
+    equal = np.ones(max(0, len(array) - 1), dtype=bool)
+    for k in range(min_words):
+        equal &= text[array[1:] + k] == text[array[:-1] + k]
+    run = np.cumsum(np.concatenate([np.zeros(min(1, len(array)), dtype=bool), ~equal]))
+    nth = rank[kept[owner[array]]] * (1 << 32) + (array - starts[owner[array]])
+    first = np.full(int(run[-1]) + 1 if len(run) else 0, np.iinfo(np.int64).max)
+    np.minimum.at(first, run, nth)
+    # The first place of each window of the distinct segments.
+    origin = np.zeros(len(text), dtype=np.int64)
+    origin[array] = first[run]
+    origin_rank = origin >> 32
+    position = {int(s): int(p) for s, p in zip(kept, starts)}
+    out = []
+    for s in range(len(order)):
+        p, n = position[int(leader[s])], int(words.counts[s]) - min_words + 1
+        source_of = origin_rank[p : p + n]
+        own = (origin[p : p + n] == rank[s] * (1 << 32) + np.arange(n)) if leader[s] == s else np.zeros(n, dtype=bool)
+        if own.all():
+            continue
+        mark = np.where(own, -1, source_of)
+        cuts = np.flatnonzero(np.diff(mark, prepend=-2))
+        for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), n]):
+            if mark[i] >= 0:
+                w = words.first[s]
+                out.append((s, int(order[mark[i]]), int(chars[words.start[w + i]] + shift[s]), int(chars[words.end[w + j + min_words - 2]] + shift[s])))
+    return out
+
+
+def _sorted_runs(cut: DataFrame, min_words: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def close(table: pa.Table) -> pa.RecordBatch | None:
+            ids = np.array([-(1 << 63) if x is None else x for x in table.column("doc_id").to_pylist()], dtype=np.int64)
+            found = repeats_of(ids, table.column("row").to_numpy(), table.column("place").to_numpy(), table.column("segment").combine_chunks().cast(pa.string()), min_words)
+            if not found:
+                return None
+            s, f, a, b = (pa.array(x, pa.int64()) for x in zip(*found))
+            return pa.RecordBatch.from_arrays([table.column(k).take(i).combine_chunks() for k, i in (("doc_id", s), ("row", s), ("doc_id", f))] + [a, b], ["doc_id", "row", "first_doc_id", "start", "end"])
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size < BATCH_BYTES:
+                continue
+            table = pa.Table.from_batches(held)
+            keys = table.column("key").to_numpy()
+            border = int(np.searchsorted(keys, keys[-1]))
+            if border:
+                if (out := close(table.slice(0, border))) is not None:
+                    yield out
+                held = table.slice(border).combine_chunks().to_batches()
+                size = sum(x.nbytes for x in held)
+        if held and (out := close(pa.Table.from_batches(held))) is not None:
+            yield out
+
+    return cut.mapInArrow(run, "doc_id long, row long, first_doc_id long, start long, end long")
+
+
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, first_doc_id, start and end (characters) of each passage that stands earlier."""
+    signs = written(_signed(docs, min_words), "signed")
+    alike = Window.partitionBy("content", "content2").orderBy(F.col("doc_id").asc_nulls_first(), "row")
+    ordered = signs.select("doc_id", "row", "content", "content2", "start", "end").dropDuplicates(["doc_id", "row"]).withColumns({"nth": F.row_number().over(alike), "first_doc_id": F.first("doc_id").over(alike)})
+    ordered = written(ordered.drop("content", "content2"), "ordered")
+    copies = ordered.where("nth > 1").select("doc_id", "row", "first_doc_id", "start", "end")
+    keyed = signs.join(copies.select("row"), "row", "left_anti").select("row", F.explode(F.array_distinct("keys")).alias("key"), F.size("keys").alias("n"), F.size(F.array_distinct("keys")).alias("m"))
+    # A key that stands twice in one text can be a repeat inside it.
+    inside = F.max((F.col("n") > F.col("m")).cast("int"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("times"), inside.alias("inside")).where("times > 1 or inside = 1").select("key")
+    wanted = keyed.join(shared, "key").groupBy("row").agg(F.collect_set("key").alias("wanted"))
+    texts = docs.select(c("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), c("text").alias("text")).join(wanted, "row")
+    one = texts if _unrepeated(signs) else texts.dropDuplicates(["row"])
+    laid = _cut(one, min_words).repartition(F.col("key")).sortWithinPartitions("key")
+    runs = _sorted_runs(laid, min_words).unionByName(copies)
+    own = Window.partitionBy("row", "doc_id", "first_doc_id").orderBy("start", "end")
+    before = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce((before < F.col("start")).cast("int"), F.lit(1))
+    merged = runs.withColumn("_new", begins).withColumn("_nth", F.sum("_new").over(own))
+    return merged.groupBy("row", "doc_id", "first_doc_id", "_nth").agg(F.min("start").alias("start"), F.max("end").alias("end")).select("doc_id", "first_doc_id", "start", "end")
+
+
+def _unrepeated(signs: DataFrame) -> bool:
+    return signs.groupBy("row").count().where("count > 1").isEmpty()
