@@ -133,9 +133,12 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b and the weighted Jaccard similarity; each text a is hashed once for all its pairs."""
-    heads = texts.join(pairs.select(F.col("a").alias("key")).distinct(), "key", "left_semi").select(F.col("key").alias("a"), F.lit(None).cast("long").alias("b"), "text")
-    tails = pairs.join(texts.withColumnRenamed("key", "b"), "b").select("a", "b", "text")
+    """a, b and the weighted Jaccard similarity; each text a is hashed once for all its pairs.
+
+    Texts are joined by merging at every size: the pairs grow with the corpus, so they are never broadcast.
+    """
+    heads = texts.join(pairs.select(F.col("a").alias("key")).distinct().hint("merge"), "key", "left_semi").select(F.col("key").alias("a"), F.lit(None).cast("long").alias("b"), "text")
+    tails = pairs.hint("merge").join(texts.withColumnRenamed("key", "b"), "b").select("a", "b", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, head_key = None, None
@@ -196,7 +199,7 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, ro
     )
     member = shared.select("first", "nodes", F.explode("nodes").alias("node"))
     texts = written(
-        docs.select(row_key().alias("key"), c("text").alias("text")).join(member.select(F.col("node").alias("key")).distinct(), "key", "left_semi").dropDuplicates(["key"]), "texts"
+        docs.select(row_key().alias("key"), c("text").alias("text")).join(member.select(F.col("node").alias("key")).distinct().hint("merge"), "key", "left_semi").dropDuplicates(["key"]), "texts"
     )
     pairs = member.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     close = written(similarities(pairs, texts), "pairs")
@@ -231,7 +234,7 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     by_key = written(found.groupBy("key").agg(F.min("nth").alias("nth"), F.count(F.lit(1)).alias("copies")), "keys")
     keyed = docs.withColumn("_key", row_key())
     gone = by_key.where("nth > 1 or copies > 1").select(F.col("key").alias("_key"))
-    kept = keyed.join(gone, "_key", "left_anti")
+    kept = keyed.join(gone.hint("merge"), "_key", "left_anti")
     # A kept row that the table repeats stays once.
     repeated = by_key.where("nth = 1 and copies > 1").select(F.col("key").alias("_key"))
     if not repeated.isEmpty():
