@@ -38,7 +38,7 @@ from trawl.llm.hashing import U, Words, char_positions, mix, prefix, range_hash,
 from trawl.scratch import written
 
 MIN_WORDS = 50
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -317,12 +317,16 @@ def _sorted_runs(cut: DataFrame, min_words: int) -> DataFrame:
                 continue
             table = pa.Table.from_batches(held)
             keys = table.column("key").to_numpy()
-            border = int(np.searchsorted(keys, keys[-1]))
-            if border:
-                if (out := close(table.slice(0, border))) is not None:
+            borders = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+            rows, done = max(1, BATCH_BYTES * len(keys) // size), 0
+            while len(borders) and done < borders[-1]:
+                # The last key's rows may go on in the next batch.
+                end = int(borders[min(len(borders) - 1, np.searchsorted(borders, done + rows))])
+                if (out := close(table.slice(done, end - done))) is not None:
                     yield out
-                held = table.slice(border).combine_chunks().to_batches()
-                size = sum(x.nbytes for x in held)
+                done = end
+            held = table.slice(done).combine_chunks().to_batches()
+            size = sum(x.nbytes for x in held)
         if held and (out := close(pa.Table.from_batches(held))) is not None:
             yield out
 
