@@ -114,7 +114,7 @@ def test_datasets_merge_and_lookup(spark, tmp_path):
     assert rows[1].alexa == pytest.approx(0.7 * 0.88888890, abs=1e-7) and rows[1].hc is None
     assert rows[2].cats == ["adult", "malware"] and rows[3].cats == [] and rows[3].alexa is None
     assert rows[4].wiki == pytest.approx(0.1) and rows[2].wiki == 0.0
-    assert rows[0].rank > rows[3].rank > rows[4].rank > rows[2].rank
+    assert rows[0].rank > rows[4].rank > rows[2].rank
 
 
 GRAPHS = {

@@ -21,10 +21,14 @@ WORDS = {
 }
 
 
+def _one_of(words: list[str]):
+    return lambda x: x.isin(*words)
+
+
 def weights(text: Column) -> Column:
     """map of language code to weight; empty when unreliable."""
     found = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: x != "")
-    hits = [F.size(F.filter(found, lambda x, w=words: x.isin(*w.split()))) for words in WORDS.values()]
+    hits = [F.size(F.filter(found, _one_of(words.split()))) for words in WORDS.values()]
     pairs = F.array(*[F.struct(F.lit(code).alias("key"), n.cast("double").alias("n")) for code, n in zip(WORDS, hits)])
     scored = F.struct(pairs.alias("p"), F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x["n"]).alias("n"), F.array_max(F.transform(pairs, lambda x: x["n"])).alias("most"))
     # A lambda's variable is worked out once.

@@ -96,35 +96,31 @@ def quoted(url: Column) -> Column:
     )
 
 
-def suffix_of(host: Column) -> Column:
-    """The public suffix of a host name."""
-    labels = F.split(F.lower(F.btrim(host, F.lit("."))), r"\.")
-    two = F.concat_ws(".", F.slice(labels, -2, 2))
-    last = F.element_at(labels, -1)
-    return F.when(F.size(labels) < 2, "").when((F.size(labels) > 2) & two.isin(*SUFFIXES), two).otherwise(last)
+#: Subdomain, label and public suffix of a host; the shortest subdomain that leaves both.
+HOST = r"^(?:(.*?)\.)??([^.]+?)(?:\.(" + "|".join(x.replace(".", r"\.") for x in SUFFIXES) + r"|[^.]+))?$"
 
 
-def _name(host: Column) -> Column:
-    """The host without outer dots and port, in lower case."""
-    return F.lower(F.btrim(F.regexp_replace(host, r":\d*$", ""), F.lit(".")))
+def _host_part(host: Column, n: int) -> Column:
+    name = F.lower(F.btrim(F.regexp_replace(host, r":\d*$", ""), F.lit(".")))
+    return F.regexp_extract(name, HOST, n)
 
 
-def _before_suffix(host: Column) -> Column:
-    name, tld = _name(host), suffix_of(_name(host))
-    return F.when(tld == "", name).otherwise(F.left(name, F.length(name) - F.length(tld) - 1))
+def suffix_of(host: Column) -> Column:
+    """The public suffix of a host name."""
+    return _host_part(host, 3)
 
 
 def domain_without_suffix(host: Column) -> Column:
     """The label that was paid for: `bbc` of `www.bbc.co.uk`."""
-    return F.element_at(F.split(_before_suffix(host), r"\."), -1)
+    return _host_part(host, 2)
 
 
 def subdomain_of(host: Column) -> Column:
-    return F.regexp_extract(_before_suffix(host), r"^(.*)\.[^.]*$", 1)
+    return _host_part(host, 1)
 
 
 def suffix(url: Column) -> Column:
-    return suffix_of(_name(domain(url)))
+    return suffix_of(domain(url))
 
 
 def subdomain(url: Column) -> Column:
@@ -148,23 +144,23 @@ def normalized_domain(url: Column) -> Column:
 
 def normalized_subdomain(url: Column) -> Column:
     """X10."""
-    bare = F.btrim(subdomain(url), F.lit("."))
-    return F.when(bare == "www", "").otherwise(F.regexp_replace(bare, r"^(?:www\.)+", ""))
+    return F.regexp_replace(F.btrim(subdomain(url), F.lit(".")), r"^(?:www\.)+|^www$", "")
 
 
 def normalized_path(url: Column) -> Column:
     """X11."""
-    return F.when(path(url) == "/", "").otherwise(path(url))
+    return F.regexp_replace(path(url), "^/$", "")
 
 
 def _normal(url: Column, tail: Column) -> Column:
-    whole = F.ltrim(F.concat(normalized_domain(url), F.when(path(url) == "", "/").otherwise(path(url)), tail), F.lit("/"))
-    return F.when(F.length(whole) - F.length(F.replace(whole, F.lit("/"), F.lit(""))) == 1, F.btrim(whole, F.lit("/"))).otherwise(whole)
+    # Each part is named once: an expression that names its input often grows with every nesting.
+    whole = F.ltrim(F.concat(normalized_domain(url), F.regexp_replace(path(url), "^$", "/"), tail), F.lit("/"))
+    return F.regexp_replace(whole, "^([^/]*)/$", "$1")
 
 
 def normalized(url: Column) -> Column:
     """The key by which URLs are the same."""
-    return _normal(url, F.when(query(url) == "", "").otherwise(F.concat(F.lit("?"), query(url))))
+    return _normal(url, F.regexp_replace(query(url), "(?s)^(.+)$", "?$1"))
 
 
 def normalized_without_query(url: Column) -> Column:
