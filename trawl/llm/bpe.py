@@ -19,6 +19,7 @@ import numpy as np
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CACHE_ENTRIES = 1_000_000
+MARKS = ".,;:!?*&%#$()[]<>/+-=_|"
 _SPACE = re.compile(r"[\s\x85]").search
 
 
@@ -42,14 +43,22 @@ class ChunkCache(dict):
     def __init__(self, measure, limit: int):
         super().__init__()
         self.measure, self.limit = measure, limit
+        self.tails: dict[str, object] = {}
 
     def __missing__(self, chunk):
         if not chunk or chunk[-1].isspace():
             raise _Uncut
         if len(self) >= self.limit:
             self.clear()
-        if chunk[-1] in ".," and chunk[:-1].isalpha():
-            value = self[chunk[:-1]] + self.measure(chunk[-1])
+        stem = chunk.rstrip(MARKS)
+        if stem != chunk and stem.isalpha():
+            # Marks behind letters are a piece of their own.
+            tail = chunk[len(stem) :]
+            if tail not in self.tails:
+                if len(self.tails) >= self.limit:
+                    self.tails.clear()
+                self.tails[tail] = self.measure(tail)
+            value = self[stem] + self.tails[tail]
         else:
             value = self.measure(chunk if chunk[0] == "\n" else " " + chunk)
         self[chunk] = value

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from trawl.llm.bpe import CACHE_ENTRIES, DEFAULT_VOCABULARY, PATTERN, ChunkCache, _Uncut, encoding
 from trawl.llm.common import c
 
+HEAD = 5
 BUDGETS = (512, 2048, 8192)
 SCHEMA = "doc_id long, n_chars long, n_tokens long, delta_bytes int, prefix_deltas binary, budget_cuts array<long>"
 
@@ -36,11 +37,19 @@ class PrefixCounter:
         self.encoding = encoding(path)
         self.ranks = self.encoding._mergeable_ranks
         self.bytes_of = {rank: word for word, rank in self.ranks.items()}
-        self.longest = max(map(len, self.ranks))
         self._piece = self.encoding._core_bpe.encode_single_piece
         self._split = regex.compile(PATTERN).finditer
         self.neighbours: dict[tuple[int, int], bool] = {}
-        self.cache = ChunkCache(lambda chunk: array("b", self.differences(chunk)).tobytes(), cache_entries // 2)
+        self.beginnings = {word[:k] for word in self.ranks for k in range(1, len(word) + 1)}
+        self.heads: dict[bytes, tuple[list[int], list[int], int]] = {}
+        self.cache = ChunkCache(self._measured, cache_entries // 2)
+
+    def _measured(self, chunk: str) -> bytes:
+        if chunk[0] == " " and chunk[1:].isalpha():
+            # One piece, whose first prefix is the space.
+            own = self.piece_counts(chunk)
+            return array("b", [own[0], *map(int.__sub__, own[1:], own)]).tobytes()
+        return array("b", self.differences(chunk)).tobytes()
 
     def _may_follow(self, left: int, right: int) -> bool:
         known = self.neighbours.get((left, right))
@@ -53,19 +62,50 @@ class PrefixCounter:
 
     def piece_counts(self, piece: str) -> list[int]:
         """Token counts of piece[:1], piece[:2], ... for a piece whose prefixes are pieces too."""
-        data, ranks, may_follow = piece.encode(), self.ranks, self._may_follow
+        data = piece.encode()
         n = len(data)
-        last, count = [-1] * (n + 1), [0] * (n + 1)
-        for k in range(1, n + 1):
-            for start in range(max(0, k - self.longest), k):
-                token = ranks.get(data[start:k])
-                if token is not None and (may_follow(last[start], token) if start else self._piece(data[:k]) == [token]):
-                    last[k], count[k] = token, count[start] + 1
-                    break
+        if n > HEAD:
+            # Pieces that begin alike share the table up to there.
+            head = data[:HEAD]
+            known = self.heads.get(head)
+            if known is None:
+                if len(self.heads) > CACHE_ENTRIES // 4:
+                    self.heads.clear()
+                known = self.heads[head] = self._extended(head, [-1], [0], 0, 1)
+            last, count, _ = self._extended(data, known[0][:], known[1][:], known[2], HEAD + 1)
+        else:
+            last, count, _ = self._extended(data, [-1], [0], 0, 1)
         if n == len(piece):
             return count[1:]
         return [count[k] for k in range(1, n + 1) if k == n or data[k] & 0xC0 != 0x80]
 
+    def _extended(self, data: bytes, last: list[int], count: list[int], begin: int, k: int) -> tuple[list[int], list[int], int]:
+        """The last tokens and counts of all prefixes, from those of the first k - 1 bytes.
+
+        `begin` is where the longest run of bytes that begins a vocabulary entry starts: no token reaches further back.
+        """
+        ranks, beginnings, may_follow, neighbours = self.ranks.get, self.beginnings, self._may_follow, self.neighbours.get
+        for k in range(k, len(data) + 1):
+            while data[begin:k] not in beginnings:
+                begin += 1
+            for start in range(begin, k):
+                token = ranks(data[start:k])
+                if token is None:
+                    continue
+                if start:
+                    fits = neighbours((last[start], token))
+                    if fits is None:
+                        fits = may_follow(last[start], token)
+                else:
+                    fits = self._piece(data[:k]) == [token]
+                if fits:
+                    last.append(token)
+                    count.append(count[start] + 1)
+                    break
+            else:
+                raise AssertionError("no token ends here")
+        return last, count, begin
+
     def differences(self, text: str) -> list[int]:
         out, base, shown = [], 0, 0
         run = -1
@@ -154,10 +194,11 @@ def token_counts(docs: DataFrame, budgets: Sequence[int] = BUDGETS, vocabulary:
                         continue
                     width, deltas = own.encode(text)
                     n = counts(deltas, width)
+                    most = int(n.max()) if len(n) else 0
                     cuts = []
                     for budget in budgets:
-                        fits = np.flatnonzero(n <= budget)
-                        cuts.append(int(fits[-1]) + 1 if len(fits) else 0)
+                        fits = np.flatnonzero(n <= budget) if most > budget else None
+                        cuts.append(len(n) if fits is None else int(fits[-1]) + 1 if len(fits) else 0)
                     rows.append((doc_id, len(n), int(n[-1]) if len(n) else 0, width, deltas, cuts))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
                 names = ("doc_id", "n_chars", "n_tokens", "delta_bytes", "prefix_deltas", "budget_cuts")
