@@ -22,6 +22,14 @@ def keep_columns(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[c(name) for name in like.columns])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, with underscores until no column of `df` has it."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def check_broadcast(n_bytes: int, what: str) -> None:
     if n_bytes > BROADCAST_BYTES:
         raise ValueError(f"{what} takes {n_bytes} bytes; at most {BROADCAST_BYTES} are sent to every worker")

@@ -74,17 +74,22 @@ def _source_key(source: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), c(source)), F.lit(""))
 
 
-def ranked(docs: DataFrame, source: str, seed: int) -> DataFrame:
-    """`docs` with _source and _rank, a seeded order inside each source.
+def slim(docs: DataFrame, source: str, *more: Column) -> DataFrame:
+    """doc_id, source and _key: the columns that the schedule works with, whatever others `docs` has."""
+    return docs.select(c("doc_id").alias("doc_id"), c(source).alias("source"), row_key().alias("_key"), *more)
+
+
+def ranked(docs: DataFrame, seed: int) -> DataFrame:
+    """`docs` (slim) with _source and _rank, a seeded order inside each source.
 
     Ranks come from counts of 4096 hash ranges a source, so that a hot source is
     sorted in as many pieces.
     """
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(c("doc_id").cast("string"), F.lit(""))))
-    keyed = docs.withColumns({"_source": _source_key(source), "_order": order, "_range": F.substring(order, 1, 3)})
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    keyed = docs.withColumns({"_source": _source_key("source"), "_order": order, "_range": F.substring(order, 1, 3)})
     ranges = keyed.groupBy("_source", "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_source").orderBy("_range")) - F.col("_n")
-    inner = F.row_number().over(Window.partitionBy("_source", "_range").orderBy("_order", c("doc_id"), row_key()))
+    inner = F.row_number().over(Window.partitionBy("_source", "_range").orderBy("_order", "doc_id", "_key"))
     return (
         keyed.join(ranges.select("_source", "_range", before.alias("_before")), ["_source", "_range"])
         .withColumn("_rank", F.col("_before") + inner - 1)
@@ -119,29 +124,29 @@ def plan(docs: DataFrame, source: str, block_docs: int, resolution: int, weights
     return spark.createDataFrame(rows, schema), last
 
 
-def scheduled(docs: DataFrame, source: str = "source", block_docs: int = BLOCK_DOCS, resolution: int = RESOLUTION, weights: Mapping[str | None, int] | None = None, seed: int = SEED) -> tuple[DataFrame, int]:
-    """`docs`, a row for each run of its block, with _slot, _block, _epoch and _at (place in the block)."""
-    table, slots = plan(docs, source, block_docs, resolution, weights)
-    runs = ranked(docs, source, seed).join(F.broadcast(table), "_source").withColumns({"_block": F.expr(f"_rank div {block_docs}"), "_at": F.expr(f"_rank % {block_docs}")})
+def scheduled(docs: DataFrame, block_docs: int = BLOCK_DOCS, resolution: int = RESOLUTION, weights: Mapping[str | None, int] | None = None, seed: int = SEED) -> tuple[DataFrame, int]:
+    """`docs` (slim), a row for each run of its block, with _slot, _block, _epoch and _at (place in the block)."""
+    table, slots = plan(docs, "source", block_docs, resolution, weights)
+    runs = ranked(docs, seed).join(F.broadcast(table), "_source").withColumns({"_block": F.expr(f"_rank div {block_docs}"), "_at": F.expr(f"_rank % {block_docs}")})
     runs = runs.withColumn("_epoch", F.explode(F.expr("sequence(0L, (_runs - 1 - _block) div _blocks)")))
     nth = F.expr("_epoch * _blocks + _block")
     slot = F.expr("_nth div _share * _period + _slots[cast(_nth % _share as int)]")
     return runs.withColumn("_nth", nth).withColumn("_slot", slot).drop("_nth", "_slots", "_runs", "_share", "_blocks", "_period", "_rank"), slots
 
 
-def mixing_order(docs: DataFrame, **options) -> DataFrame:
+def mixing_order(docs: DataFrame, source: str = "source", **options) -> DataFrame:
     """The training order: slot, place in the slot, doc_id, source, block and epoch of every run."""
-    runs, _ = scheduled(docs.select(c("doc_id"), c(options.get("source", "source")).alias("source"), c("text")), **(options | {"source": "source"}))
+    runs, _ = scheduled(slim(docs, source), **options)
     return runs.select(F.col("_slot").alias("slot"), F.col("_at").alias("place"), "doc_id", "source", F.col("_block").alias("block"), F.col("_epoch").alias("epoch"))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(docs: DataFrame, source: str = "source", **options) -> DataFrame:
     """The documents in training order, as often as their blocks run; the columns of `docs`."""
-    runs, slots = scheduled(docs, **options)
+    runs, slots = scheduled(slim(docs, source, F.struct(*[c(name) for name in docs.columns]).alias("_doc")), **options)
     spark = docs.sparkSession
     tasks = max(1, min(slots, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     laid = runs.repartitionById(tasks, F.expr(f"cast(_slot * {tasks} div {max(1, slots)} as int)")).sortWithinPartitions("_slot", "_at")
-    return laid.select(*[c(name) for name in docs.columns])
+    return laid.select("_doc.*")
 
 
 #: DuckDB: the same order, the period by recursion over its slots.

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trawl.llm.common import c, row_key
+from trawl.llm.common import c, fresh, row_key
 from trawl.llm.hashing import U, Words, mix, prefix, range_hash, slices, utf8
 from trawl.scratch import written
 
@@ -232,12 +232,13 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One document of each group and all others; the columns of `docs`."""
     found = written(groups(docs, **options), "groups")
     by_key = written(found.groupBy("key").agg(F.min("nth").alias("nth"), F.count(F.lit(1)).alias("copies")), "keys")
-    keyed = docs.withColumn("_key", row_key())
-    gone = by_key.where("nth > 1 or copies > 1").select(F.col("key").alias("_key"))
-    kept = keyed.join(gone.hint("merge"), "_key", "left_anti")
+    key, nth = fresh(docs, "_key"), fresh(docs, "_nth")
+    keyed = docs.withColumn(key, row_key())
+    gone = by_key.where("nth > 1 or copies > 1").select(F.col("key").alias(key))
+    kept = keyed.join(gone.hint("merge"), key, "left_anti")
     # A kept row that the table repeats stays once.
-    repeated = by_key.where("nth = 1 and copies > 1").select(F.col("key").alias("_key"))
+    repeated = by_key.where("nth = 1 and copies > 1").select(F.col("key").alias(key))
     if not repeated.isEmpty():
-        one = keyed.join(repeated, "_key", "left_semi").withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_key"))).where("_nth = 1").drop("_nth")
+        one = keyed.join(repeated, key, "left_semi").withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(F.col(nth) == 1).drop(nth)
         kept = kept.unionByName(one)
     return kept.select(*[c(name) for name in docs.columns])

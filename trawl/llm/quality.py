@@ -21,7 +21,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import c
+from trawl.llm.common import c, fresh
 
 SHORT_WORDS = 6
 MAX_BARS = 0.2
@@ -55,8 +55,9 @@ def quality_rules(docs: DataFrame, min_kept: float = MIN_KEPT) -> DataFrame:
     clean = F.array_join(F.filter(lines, good_line)["x"], "\n")
     passes = lambda x: (F.length(x) > 0) & (F.length(x) >= F.lit(min_kept) * F.length(F.trim(c("text"))))
     # A generator keeps the optimizer from working the text out again for the condition.
-    passed = docs.withColumn("_clean", F.explode(F.filter(F.array(clean), passes)))
-    out = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
+    name = fresh(docs, "_clean")
+    passed = docs.withColumn(name, F.explode(F.filter(F.array(clean), passes)))
+    out = {"text": F.col(name), "n_chars": F.length(name).cast("long")}
     return passed.select(*[out[name.lower()].alias(name) if name.lower() in out else c(name) for name in docs.columns])
 
 
