@@ -72,15 +72,14 @@ def pagerank(
     precision: float = 1e-6,
     tolerance: float = -1.0,
     stats_every: int = 5,
-    cut_every: int = 5,
     include_orphans: bool = False,
     all_vertices: bool = False,
 ) -> Result:
     """Iterate until nothing changes by more than `precision` or, every `stats_every` steps, than `tolerance`.
 
-    `all_vertices` starts every vertex at 1 and ranks each in every step (P7).  The
-    ranks are written to the shared folder every `cut_every` steps, the table before
-    is deleted.
+    `all_vertices` starts every vertex at 1 and ranks each in every step (P7).  A step
+    reads the ranks before it twice, so each is written to the shared folder, where a
+    lost executor can't take it along, and the table before is deleted.
     """
     spark = vertices.sparkSession
     laid = written(edges.select("src", "dst", F.col("weight").cast("double").alias("weight")).repartition("src"), "edges")
@@ -89,22 +88,18 @@ def pagerank(
     last_path, max_diff, done = None, None, 0
     for n in range(1, max_iterations + 1):
         new = full_step(laid, ranks) if all_vertices else step(laid, ranks, precision)
-        look = stats_every > 0 and n % stats_every == 0
-        if look or n % cut_every == 0 or n == max_iterations:
-            path = new_path(spark, "ranks")
-            new.write.parquet(path)
-            new = spark.read.schema(new.schema).parquet(path)
-            if look:
-                max_diff = diff_stats(new).first()["max_diff"]
-                if max_diff is None or max_diff <= tolerance:
-                    delete(spark, path)
-                    break
-            ranks, done = new.select("id", F.col("new_rank").alias("rank")), n
-            if last_path:
-                delete(spark, last_path)
-            last_path = path
-        else:
-            ranks, done = new.select("id", F.col("new_rank").alias("rank")), n
+        path = new_path(spark, "ranks")
+        new.write.parquet(path)
+        new = spark.read.schema(new.schema).parquet(path)
+        if stats_every > 0 and n % stats_every == 0:
+            max_diff = diff_stats(new).first()["max_diff"]
+            if max_diff is None or max_diff <= tolerance:
+                delete(spark, path)
+                break
+        ranks, done = new.select("id", F.col("new_rank").alias("rank")), n
+        if last_path:
+            delete(spark, last_path)
+        last_path = path
     if include_orphans and not all_vertices:
         ranks = ranks.unionByName(orphans(vertices, laid).select("id", F.lit(BASE).alias("rank")))
     return Result(ranks, done, max_diff)

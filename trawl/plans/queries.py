@@ -141,7 +141,7 @@ def orphans(spark, d):
 
 def _ranked(spark, d, **options) -> pr.Result:
     e = _edges(spark, d)
-    return pr.pagerank(_vertices(e), e, max_iterations=3, precision=0.0, stats_every=0, cut_every=100, **options)
+    return pr.pagerank(_vertices(e), e, max_iterations=3, precision=0.0, stats_every=0, **options)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
