@@ -20,6 +20,8 @@ WORDS = ["the", "und", "les", "license"]
 SEARCH = "the and blees"
 INLINE = ["http://example.com/", "http://www.example.com:80/?x=1#b", "https://example.org:443", "http://sub.test.co.uk/a/b.html?q=1"]
 #: Sites that search queries see are the documents' sources.
+#: Ranks are finite decimals that often end in 5: this keeps rounding from hanging on the order of a sum.
+OFF_TIES = 3.17e-11
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 HREF = r'<a href="([^"]*)"'
 
@@ -145,7 +147,7 @@ def _ranked(spark, d, **options) -> pr.Result:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.select("id", F.round("rank", 9).alias("rank"))
+    return df.select("id", F.round(F.col("rank") + OFF_TIES, 9).alias("rank"))
 
 
 def pagerank_3iter(spark, d):
@@ -343,12 +345,12 @@ ORACLES = {
     "vertices_union": f"SELECT id FROM {_VERTICES}",
     "vertices_with_inlinks": f"SELECT DISTINCT dst AS id FROM {_GRAPH}",
     "orphans": f"SELECT DISTINCT src AS id FROM {_GRAPH} WHERE src NOT IN (SELECT dst FROM {_GRAPH})",
-    "pagerank_3iter": _steps(3, False) + " SELECT id, round(rank, 9) AS rank FROM r3",
-    "pagerank_alt_3iter": _steps(3, True) + " SELECT id, round(rank, 9) AS rank FROM r3",
-    "pagerank_with_orphans": _steps(3, False) + f" SELECT id, round(rank, 9) AS rank FROM r3 UNION ALL SELECT DISTINCT src, 0.15 FROM {_GRAPH} WHERE src NOT IN (SELECT dst FROM {_GRAPH})",
+    "pagerank_3iter": _steps(3, False) + " SELECT id, round(rank + 3.17e-11, 9) AS rank FROM r3",
+    "pagerank_alt_3iter": _steps(3, True) + " SELECT id, round(rank + 3.17e-11, 9) AS rank FROM r3",
+    "pagerank_with_orphans": _steps(3, False) + f" SELECT id, round(rank + 3.17e-11, 9) AS rank FROM r3 UNION ALL SELECT DISTINCT src, round(0.15::DOUBLE + 3.17e-11, 9) FROM {_GRAPH} WHERE src NOT IN (SELECT dst FROM {_GRAPH})",
     "pagerank_diff_stats": _steps(1, False) + ", d AS (SELECT abs(r1.rank - r0.rank) AS d FROM r0 JOIN r1 USING (id) WHERE r0.rank <> r1.rank) SELECT round(sum(d), 6) AS sum_diff, count(*) AS count_diff, round(min(d), 6) AS min_diff, round(max(d), 6) AS max_diff, round(avg(d), 6) AS avg_diff, round(stddev(d), 6) AS stddev_diff FROM d",
     "pagerank_topdiffs": _steps(1, False) + " SELECT id, 'd' || id AS domain, round(abs(round(r1.rank, 6) - round(r0.rank, 6)), 6) AS diff FROM r0 JOIN r1 USING (id) WHERE round(r1.rank, 6) <> round(r0.rank, 6) ORDER BY abs(round(r1.rank, 6) - round(r0.rank, 6)) DESC, id LIMIT 25",
-    "pagerank_unweighted": f"SELECT dst AS id, round(0.15 + 0.85 * sum(weight), 9) AS rank FROM {_EDGES} GROUP BY dst",
+    "pagerank_unweighted": f"SELECT dst AS id, round(0.15 + 0.85 * sum(weight) + 3.17e-11, 9) AS rank FROM {_EDGES} GROUP BY dst",
     "graph_text_export": f"SELECT DISTINCT src || ' ' || dst AS r FROM {_GRAPH}",
     "popularity_signal": f"SELECT c_custkey AS id, CASE WHEN c_custkey > 0 THEN round({_POPULAR.format('c_custkey')}, 6) END AS value FROM customer",
     "metadata_merge": f"WITH {_RECORDS} SELECT key, alexa, dmoz_title, sitelinks, array_to_string(cats, ',') AS categories FROM rec",
