@@ -131,7 +131,7 @@ def test_pagerank_of_known_graphs(spark, name, full):
     at = {n: i for i, n in enumerate(nodes)}
     vertices = spark.createDataFrame([(i, n) for n, i in at.items()], "id long, domain string")
     edges = unweighted(spark.createDataFrame([(at[s], at[d]) for s, x in out.items() for d in x.split()], "src long, dst long"))
-    found = pagerank(vertices, edges, 40, 0.0, 2e-3, 1, include_orphans=True, all_vertices=full)
+    found = pagerank(vertices, edges, 60, 0.0, 1e-4, 5, include_orphans=True, all_vertices=full)
     ranks = {r.domain: r.rank for r in named(found.ranks, vertices).collect()}
     assert len(ranks) == len(nodes) and all(ranks[k] == pytest.approx(v, abs=0.01) for k, v in expected.items())
 
