@@ -5,11 +5,11 @@ is released at slot floor(i / w) and due by slot ceil((i + 1) / w); in every slo
 the released block with the earliest deadline runs.  After any number of slots a
 source is less than one block from its share.
 
-Shares are whole multiples of 1 / resolution, so the schedule repeats after
-`resolution` slots: one period is computed, and any block's slot follows from it
-by arithmetic.  The schedule ends when every block of every source has run; a
-source that is below its share runs through its blocks again (`epoch`), none is
-left out.
+Weights are whole numbers of any size and are not rounded: the schedule runs over
+all slots, not over a period that repeats.  It ends when every block of every
+source has run; a source that is below its share runs through its blocks again
+(`epoch`), none is left out.  With `resolution`, shares are rounded to multiples of
+1 / resolution first, and a source is less than one block from its rounded share.
 
 A null source is a source of its own.  Repeated rows are documents of their own.
 """
@@ -17,17 +17,21 @@ A null source is a source of its own.  Repeated rows are documents of their own.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from array import array
+from collections.abc import Iterator, Mapping
+from itertools import islice
 from math import isqrt
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from trawl.llm.common import c, check_broadcast, row_key
+from trawl.llm.common import BROADCAST_BYTES, c, row_key
 
 BLOCK_DOCS = 64
+#: Of ORDER_SQL.
 RESOLUTION = 1000
 SEED = 7
 SCALE = 1_000_000
@@ -53,20 +57,39 @@ def shares(weights: Mapping[str, int], resolution: int) -> dict[str, int]:
     return out
 
 
+def slots_of(weights: Mapping[str, int]) -> Iterator[str]:
+    """The source of each slot without end, earliest deadline first; weights are whole and over 0."""
+    total = sum(weights.values())
+    due: list[tuple[int, str, int]] = []
+    waiting = [(0, s, 0) for s in weights]
+    slot = 0
+    while True:
+        while waiting and waiting[0][0] <= slot:
+            _, s, i = heapq.heappop(waiting)
+            heapq.heappush(due, (-(-(i + 1) * total // weights[s]), s, i))
+        _, s, i = heapq.heappop(due)
+        yield s
+        slot += 1
+        heapq.heappush(waiting, ((i + 1) * total // weights[s], s, i + 1))
+
+
 def period(share: Mapping[str, int]) -> dict[str, list[int]]:
     """The slots of each source in one period, earliest deadline first."""
-    q = sum(share.values())
-    due: list[tuple[int, str, int]] = []
-    released: dict[int, list[tuple[str, int]]] = {}
-    for s, n in share.items():
-        for i in range(n):
-            released.setdefault(i * q // n, []).append((s, i))
     out: dict[str, list[int]] = {s: [] for s in share}
-    for slot in range(q):
-        for s, i in released.get(slot, ()):
-            heapq.heappush(due, (-(-(i + 1) * q // share[s]), s, i))
-        _, s, _ = heapq.heappop(due)
+    for slot, s in enumerate(islice(slots_of(share), sum(share.values()))):
+        out[s].append(slot)
+    return out
+
+
+def schedule(weights: Mapping[str, int], blocks: Mapping[str, int]) -> dict[str, array]:
+    """The slots of each source until every source has run all its blocks."""
+    out = {s: array("q") for s in weights}
+    left = len(weights)
+    for slot, s in enumerate(slots_of(weights)):
         out[s].append(slot)
+        left -= len(out[s]) == blocks[s]
+        if not left:
+            break
     return out
 
 
@@ -97,13 +120,12 @@ def ranked(docs: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def plan(docs: DataFrame, source: str, block_docs: int, resolution: int, weights: Mapping[str | None, int] | None) -> tuple[DataFrame, int]:
-    """One row a source with its schedule, and the number of slots."""
+def plan(docs: DataFrame, source: str, block_docs: int, resolution: int | None, weights: Mapping[str | None, int] | None) -> tuple[DataFrame, int]:
+    """One row a run of a block with its slot, and the number of slots."""
     spark = docs.sparkSession
     sizes = {r["s"]: r["n"] for r in docs.groupBy(_source_key(source).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    schema = T.StructType([T.StructField("_source", T.StringType()), *[T.StructField(x, T.LongType()) for x in ("_blocks", "_share", "_runs", "_period")], T.StructField("_slots", T.ArrayType(T.LongType()))])
     if not sizes:
-        return spark.createDataFrame([], schema), 0
+        return spark.createDataFrame([], "_source string, _block long, _epoch long, _slot long"), 0
     if weights is None:
         target = {s: tempered(n) for s, n in sizes.items()}
     else:
@@ -111,27 +133,30 @@ def plan(docs: DataFrame, source: str, block_docs: int, resolution: int, weights
         if missing := sizes.keys() - target.keys():
             raise ValueError(f"no weight for {sorted(missing)}")
         target = {s: target[s] for s in sizes}
-    resolution = max(resolution, 4 * len(sizes))
-    check_broadcast(64 * resolution, "the schedule")
-    share = shares(target, resolution)
-    slots = period(share)
+    if resolution is not None:
+        target = shares(target, max(resolution, 4 * len(sizes)))
+    elif least := sorted(s for s, w in target.items() if w < 1):
+        raise ValueError(f"weights under 1 for {least}")
     blocks = {s: -(-n // block_docs) for s, n in sizes.items()}
-    last = max((blocks[s] - 1) // share[s] * resolution + slots[s][(blocks[s] - 1) % share[s]] for s in sizes) + 1
-    rows = []
-    for s in sizes:
-        runs = last // resolution * share[s] + sum(x < last % resolution for x in slots[s])
-        rows.append((s, blocks[s], share[s], runs, resolution, slots[s]))
-    return spark.createDataFrame(rows, schema), last
-
-
-def scheduled(docs: DataFrame, block_docs: int = BLOCK_DOCS, resolution: int = RESOLUTION, weights: Mapping[str | None, int] | None = None, seed: int = SEED) -> tuple[DataFrame, int]:
+    slots = schedule(target, blocks)
+    names = list(slots)
+    runs = [np.arange(len(slots[s])) for s in names]
+    numbers = np.repeat(np.arange(len(names), dtype="i4"), [len(x) for x in runs])
+    table = pa.table({
+        "_source": pa.array(names, pa.string()).take(pa.array(numbers)),
+        "_block": np.concatenate([x % blocks[s] for s, x in zip(names, runs)]),
+        "_epoch": np.concatenate([x // blocks[s] for s, x in zip(names, runs)]),
+        "_slot": np.concatenate([np.frombuffer(slots[s], "i8") for s in names]),
+    })
+    df = spark.createDataFrame(table)
+    return (F.broadcast(df) if 2 * table.nbytes + 64 * len(table) <= BROADCAST_BYTES else df.hint("merge")), len(table)
+
+
+def scheduled(docs: DataFrame, block_docs: int = BLOCK_DOCS, resolution: int | None = None, weights: Mapping[str | None, int] | None = None, seed: int = SEED) -> tuple[DataFrame, int]:
     """`docs` (slim), a row for each run of its block, with _slot, _block, _epoch and _at (place in the block)."""
     table, slots = plan(docs, "source", block_docs, resolution, weights)
-    runs = ranked(docs, seed).join(F.broadcast(table), "_source").withColumns({"_block": F.expr(f"_rank div {block_docs}"), "_at": F.expr(f"_rank % {block_docs}")})
-    runs = runs.withColumn("_epoch", F.explode(F.expr("sequence(0L, (_runs - 1 - _block) div _blocks)")))
-    nth = F.expr("_epoch * _blocks + _block")
-    slot = F.expr("_nth div _share * _period + _slots[cast(_nth % _share as int)]")
-    return runs.withColumn("_nth", nth).withColumn("_slot", slot).drop("_nth", "_slots", "_runs", "_share", "_blocks", "_period", "_rank"), slots
+    placed = ranked(docs, seed).withColumns({"_block": F.expr(f"_rank div {block_docs}"), "_at": F.expr(f"_rank % {block_docs}")})
+    return placed.join(table, ["_source", "_block"]).drop("_rank"), slots
 
 
 def mixing_order(docs: DataFrame, source: str = "source", **options) -> DataFrame:
@@ -149,7 +174,8 @@ def mixed(docs: DataFrame, source: str = "source", **options) -> DataFrame:
     return laid.select("_doc.*")
 
 
-#: DuckDB: the same order, the period by recursion over its slots.
+#: DuckDB: the order for shares rounded to 1 / RESOLUTION, the period by recursion over its slots.
+#: It is that of `resolution=RESOLUTION`, and the default order as far as rounding moves no slot.
 ORDER_SQL = f"""
 WITH RECURSIVE docs AS (SELECT doc_id, source, coalesce('=' || source, '') AS s, md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS o FROM documents),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY o, doc_id) - 1 AS r FROM docs),
