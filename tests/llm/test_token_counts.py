@@ -43,3 +43,15 @@ def test_budgets_nulls_and_long_texts(spark):
     assert [count_at(by[1].prefix_deltas, k, by[1].delta_bytes) for k in range(3001)] == counts
     assert by[1].budget_cuts[1] == max(k for k in range(3001) if counts[k] <= 500) == longest_prefix(by[1].prefix_deltas, 500, by[1].delta_bytes)
     assert token_counts(df.where("false")).collect() == []
+
+
+def test_long_white_space():
+    pick = random.Random(4)
+    for _ in range(300):
+        text = "".join(pick.choice(" \n\t\x1c\x85 　 ab'st.,1é") for _ in range(pick.randint(0, 30)))
+        assert prefixes(text) == brute(text), text
+    text = "x" + " \n" * 200 + " " * 150 + "\n" * 300 + " y" + " " * 200
+    assert prefixes(text) == brute(text)
+    long = "\n" * 1_000_000
+    width, deltas = counter().encode("a" + long + "b")
+    assert [count_at(deltas, k, width) for k in (1, 2, 1000, 500_001)] == [len(encoder().encoding.encode_ordinary("a" + long[: k - 1])) for k in (1, 2, 1000, 500_001)]

@@ -19,6 +19,7 @@ import numpy as np
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CACHE_ENTRIES = 1_000_000
+CACHED_CHARS = 256
 MARKS = ".,;:!?*&%#$()[]<>/+-=_|"
 _SPACE = re.compile(r"[\s\x85]").search
 
@@ -61,7 +62,8 @@ class ChunkCache(dict):
             value = self[stem] + self.tails[tail]
         else:
             value = self.measure(chunk if chunk[0] == "\n" else " " + chunk)
-        self[chunk] = value
+        if len(chunk) <= CACHED_CHARS:
+            self[chunk] = value
         return value
 
 
@@ -111,7 +113,7 @@ class TokenEncoder:
                 known.clear()
                 found = [None] * len(rest)
             new = [chunk for chunk, tokens in zip(rest, found) if tokens is None]
-            if "" in new:
+            if "" in new or max(map(len, new)) > CACHED_CHARS:
                 return self.plain(text)
             lines = [chunk[1:] for chunk in new if chunk[0] == "\n"]
             if lines:
