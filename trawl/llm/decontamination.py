@@ -7,9 +7,14 @@ bound is a candidate region, and a banded alignment decides.
 
 Both sides are compared in lower case (ASCII) with each run of other characters
 than letters and digits as one space.  The edit budget is `edit_share` of an
-item's length.  Items shorter than q match where they occur as they are.
+item's length in bytes; an item too short for one edit matches where it occurs as
+it is.  Items for which q-grams of q bytes leave no bound take shorter ones, so
+that no item within its budget is missed.
+
 Null and empty texts, on either side, match nothing.  Repeated rows are found
-alike; an item stands once a document, with its fewest edits.
+alike; an item stands once a document, with its fewest edits.  Empty tables of
+documents or items give no matches; `doc_id` and `item_id` are whole numbers or
+null.  `contaminated` ignores other columns, `decontaminated` keeps them all.
 """
 
 from __future__ import annotations
@@ -26,7 +31,11 @@ from trawl.llm.common import BROADCAST_BYTES, c
 from trawl.llm.hashing import FOLD, SLICE_BYTES, U, WORD_BYTE, slices, utf8
 
 Q = 12
+#: Sizes of q-grams for items that are too short for those of q.
+QS = (1, 2, 3, 4, 6, 8, 10)
 EDIT_SHARE = 0.05
+POSTINGS = 4_000_000
+KEY = np.dtype([("row", np.int64), ("item", np.int64), ("band", np.int64), ("n", np.int64)])
 TO_SPACE = np.where(WORD_BYTE, FOLD, np.uint8(32)).astype(np.uint8)
 
 
@@ -42,51 +51,63 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def grams(data: np.ndarray, q: int) -> np.ndarray:
-    """A hash of each q bytes (8 <= q <= 16): its first and last eight bytes."""
+    """A hash of each q bytes (1 <= q <= 16): its first and last eight, or all of fewer."""
     n = len(data) - q + 1
     if n <= 0:
         return np.zeros(0, dtype=U)
+    if q < 8:
+        out = np.zeros(n, dtype=U)
+        for k in range(q):
+            out = out << U(8) | data[k : k + n]
+        return out
     eight = np.ndarray((len(data) - 7,), dtype="<u8", buffer=np.ascontiguousarray(data), strides=(1,))
     return eight[:n] * U(0x9E3779B97F4A7C15) + (eight[q - 8 :] ^ (eight[q - 8 :] >> U(29))) * U(0xBF58476D1CE4E5B9)
 
 
-def fewest_edits(item: bytes, region: bytes, budget: int) -> int:
-    """Edits between the item and its best place in the region, budget + 1 if more than the budget."""
+def fewest_edits(item: bytes, region: bytes, budget: int, low: int, high: int) -> int:
+    """Edits between the item and its best place in the region, budget + 1 if more than the budget.
+
+    The alignment keeps to a band: its cells lie on the diagonals low .. high (place in the region less place in the item).
+    """
     if item in region:
         return 0
-    text = np.frombuffer(region, dtype=np.uint8)
-    steps = np.arange(len(text) + 1)
-    row = np.zeros(len(text) + 1, dtype=np.int64)
+    if budget == 0:
+        return 1
+    width, steps, far = high - low + 1, np.arange(high - low + 1), budget + 1
+    # text[j + len(item) + width] is the region's byte j; beyond it stands what no byte equals.
+    pad = len(item) + width
+    text = np.full(len(region) + 2 * pad, -1, dtype=np.int16)
+    text[pad : pad + len(region)] = np.frombuffer(region, dtype=np.uint8)
+    place = low + steps
+    row = np.where((place >= 0) & (place <= len(region)), 0, far)
     for i, ch in enumerate(item, 1):
-        new = np.empty_like(row)
-        new[0] = i
-        new[1:] = np.minimum(row[1:] + 1, row[:-1] + (text != ch))
+        # Row i: cell k stands for i bytes of the item and low + k + i of the region.
+        first = pad + low + i - 1
+        if first < 0 or first + width > len(text):
+            return far
+        new = row + (text[first : first + width] != ch)
+        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
+        place += 1
+        new[(place < 0) | (place > len(region))] = far
         row = np.minimum.accumulate(new - steps) + steps
+        row[(place < 0) | (place > len(region))] = far
         if row.min() > budget:
-            return budget + 1
-    return min(int(row.min()), budget + 1)
+            return far
+    return int(row.min())
 
 
-class Index:
-    """The q-grams of the items with their places."""
+class Grams:
+    """The q-grams of those items whose bound holds for one q, with their places."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, edit_share: float):
+    def __init__(self, texts: list[bytes], budget: np.ndarray, own: np.ndarray, q: int):
         self.q = q
-        data, offsets = utf8(pa.array([text for _, text in items], pa.string()))
-        data, offsets = normalised(data, offsets)
-        texts = [data[a:b].tobytes().strip() for a, b in zip(offsets, offsets[1:])]
-        items = [(item_id, text) for (item_id, _), text in zip(items, texts) if text]
-        self.ids = [item_id for item_id, _ in items]
-        self.texts = [text for _, text in items]
-        self.short = [i for i, text in enumerate(self.texts) if len(text) < q]
-        lengths = np.array([len(text) for text in self.texts], dtype=np.int64)
-        self.budget = (lengths * edit_share).astype(np.int64)
-        self.bound = np.maximum(1, lengths + 1 - q * (self.budget + 1))
-        found = [(grams(np.frombuffer(text, np.uint8), q), i) for i, text in enumerate(self.texts) if len(text) >= q]
-        gram = np.concatenate([g for g, _ in found]) if found else np.zeros(0, U)
+        lengths = np.array([len(text) for text in texts], dtype=np.int64)
+        self.bound = lengths + 1 - q * (budget + 1)
+        found = [grams(np.frombuffer(texts[i], np.uint8), q) for i in own.tolist()]
+        gram = np.concatenate(found)
         order = np.argsort(gram, kind="stable")
-        self.item = np.concatenate([np.full(len(g), i) for g, i in found])[order] if found else np.zeros(0, np.int64)
-        self.place = np.concatenate([np.arange(len(g)) for g, _ in found])[order] if found else np.zeros(0, np.int64)
+        self.item = np.repeat(own, [len(g) for g in found])[order]
+        self.place = np.concatenate([np.arange(len(g)) for g in found])[order]
         self.gram, self.first = np.unique(gram[order], return_index=True)
         self.first = np.append(self.first, len(gram))
         self.bits = max(16, int(16 * len(gram) + 1).bit_length())
@@ -100,47 +121,85 @@ class Index:
     def _slot(self, gram: np.ndarray) -> np.ndarray:
         return (gram ^ (gram >> U(32))) * U(0xD6E8FEB86659FD93) >> U(64 - self.bits)
 
+    def bands(self, data: np.ndarray, offsets: np.ndarray, budget: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """row, item and band of every diagonal band that shares as many q-grams with an item as the bound asks for."""
+        own = grams(data, self.q)
+        at = np.flatnonzero(self.table[self._slot(own)])
+        nth = np.searchsorted(self.gram, own[at])
+        nth[nth == len(self.gram)] = 0
+        real = self.gram[nth] == own[at]
+        at, nth = at[real], nth[real]
+        row = np.searchsorted(offsets, at, side="right") - 1
+        inside = at + self.q <= offsets[row + 1]
+        at, nth, row = at[inside], nth[inside], row[inside]
+        times = self.first[nth + 1] - self.first[nth]
+        # A gram of very many items is taken part by part: only counts by band are kept.
+        cuts = np.searchsorted(np.cumsum(times), np.arange(POSTINGS, times.sum() + 1, POSTINGS), side="left").tolist()
+        kept: list[np.ndarray] = []
+        for i, j in zip([0, *cuts], [*cuts, len(at)]):
+            n = times[i:j]
+            if not n.sum():
+                continue
+            post = np.repeat(self.first[nth[i:j]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            item, diagonal, of = self.item[post], np.repeat(at[i:j], n) - self.place[post], np.repeat(row[i:j], n)
+            band = diagonal // (budget[item] + 1)
+            # Two halves make a band: any budget + 1 consecutive diagonals lie in one.
+            keys = np.empty(2 * len(post), dtype=KEY)
+            keys["row"], keys["item"] = np.concatenate([of, of]), np.concatenate([item, item])
+            keys["band"], keys["n"] = np.concatenate([band, band - 1]), 1
+            kept.append(counted(keys))
+        keys = counted(np.concatenate(kept)) if kept else np.empty(0, dtype=KEY)
+        keys = keys[keys["n"] >= self.bound[keys["item"]]]
+        return keys["row"], keys["item"], keys["band"]
+
+
+def counted(keys: np.ndarray) -> np.ndarray:
+    """One key of each row, item and band, with the sum of their counts."""
+    keys = keys[np.lexsort((keys["band"], keys["item"], keys["row"]))]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys["row"][1:] != keys["row"][:-1]) | (keys["item"][1:] != keys["item"][:-1]) | (keys["band"][1:] != keys["band"][:-1])
+    first = np.flatnonzero(new)
+    out = keys[first]
+    out["n"] = np.add.reduceat(keys["n"], first) if len(first) else 0
+    return out
+
+
+class Index:
+    """The items' q-grams.
+
+    The lemma asks for a bound of one shared q-gram at least, so an item of m bytes and
+    e edits takes q-grams of at most m / (e + 1) bytes: the largest of QS that is.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], q: int, edit_share: float):
+        data, offsets = utf8(pa.array([text for _, text in items], pa.string()))
+        data, offsets = normalised(data, offsets)
+        texts = [data[a:b].tobytes().strip() for a, b in zip(offsets, offsets[1:])]
+        items = [(item_id, text) for (item_id, _), text in zip(items, texts) if text]
+        self.ids = [item_id for item_id, _ in items]
+        self.texts = [text for _, text in items]
+        lengths = np.array([len(text) for text in self.texts], dtype=np.int64)
+        self.budget = np.minimum((lengths * edit_share).astype(np.int64), np.maximum(lengths - 1, 0))
+        sizes = np.array(sorted({q, *[x for x in QS if x < q]}))
+        own = sizes[np.searchsorted(sizes, np.minimum(q, lengths // (self.budget + 1)), side="right") - 1] if items else lengths
+        self.levels = [Grams(self.texts, self.budget, np.flatnonzero(own == x), int(x)) for x in np.unique(own)]
+
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], int]:
         """(row, item) -> fewest edits, over a slice of texts."""
         data, offsets = normalised(data, offsets)
         out: dict[tuple[int, int], int] = {}
-        if len(self.gram):
-            own = grams(data, self.q)
-            at = np.flatnonzero(self.table[self._slot(own)])
-            nth = np.searchsorted(self.gram, own[at])
-            nth[nth == len(self.gram)] = 0
-            real = self.gram[nth] == own[at]
-            at, nth = at[real], nth[real]
-            row = np.searchsorted(offsets, at, side="right") - 1
-            inside = at + self.q <= offsets[row + 1]
-            at, nth, row = at[inside], nth[inside], row[inside]
-            times = self.first[nth + 1] - self.first[nth]
-            post = np.repeat(self.first[nth] - np.cumsum(times) + times, times) + np.arange(times.sum())
-            item, diagonal = self.item[post], np.repeat(at, times) - self.place[post]
-            row = np.repeat(row, times)
-            width = self.budget[item] + 1
-            band = diagonal // width
-            # Two halves make a band: any width consecutive diagonals lie in one.
-            keys = np.stack([np.concatenate([row, row]), np.concatenate([item, item]), np.concatenate([band, band - 1])])
-            packed = (keys[0] * len(self.texts) + keys[1]) * (1 << 34) + keys[2] + (1 << 32)
-            packed, shared = np.unique(packed, return_counts=True)
-            item = (packed >> 34) % max(1, len(self.texts))
-            good = shared >= self.bound[item]
-            for key in packed[good].tolist():
-                pair, band = key >> 34, (key & ((1 << 34) - 1)) - (1 << 32)
-                r, i = divmod(pair, len(self.texts))
+        for level in self.levels:
+            for r, i, band in zip(*[x.tolist() for x in level.bands(data, offsets, self.budget)]):
                 budget = int(self.budget[i])
                 if out.get((r, i), budget + 1) == 0:
                     continue
-                start = max(int(offsets[r]), band * (budget + 1) - budget)
-                end = min(int(offsets[r + 1]), (band + 2) * (budget + 1) + len(self.texts[i]) + budget)
-                edits = fewest_edits(self.texts[i], data[start:end].tobytes(), budget)
+                # The band's diagonals, as places in the data, and as far on each side as the edits may lead.
+                low, high = band * (budget + 1) - budget, (band + 2) * (budget + 1) - 1 + budget
+                start = max(int(offsets[r]), low)
+                end = min(int(offsets[r + 1]), high + len(self.texts[i]))
+                edits = fewest_edits(self.texts[i], data[start:end].tobytes(), budget, low - start, high - start)
                 if edits <= budget:
                     out[r, i] = min(edits, out.get((r, i), edits))
-        for i in self.short:
-            for r in range(len(offsets) - 1):
-                if self.texts[i] in data[offsets[r] : offsets[r + 1]].tobytes():
-                    out[r, i] = 0
         return out
 
     def rows(self, column: pa.Array) -> Iterator[tuple[int, int, int]]:
