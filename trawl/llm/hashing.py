@@ -11,6 +11,7 @@ import pyarrow as pa
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 SLICE_BYTES = 2_000_000
+SLICE_ROWS = 1 << 16
 
 #: Letters, digits and every byte of a multi-byte character are word bytes.
 WORD_BYTE = np.zeros(256, dtype=bool)
@@ -72,10 +73,10 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about `most` bytes each; a longer text is a range of its own."""
+    """Row ranges of about `most` bytes and SLICE_ROWS rows at most; a longer text is a range of its own."""
     row, rows = 0, len(offsets) - 1
     while row < rows:
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, side="right")) - 1)
+        end = min(row + SLICE_ROWS, max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, side="right")) - 1))
         yield row, end
         row = end
 

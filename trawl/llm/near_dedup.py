@@ -9,11 +9,18 @@ similarity.  Registers are banded; pairs that share a band are verified by the
 exact similarity of their multisets, and groups are connected components.
 
 Equal word sequences are one node from the start.  In a band each member is
-compared with the least one; then whatever a band still holds in different
-components is compared pair by pair, so no pair is left out.
-
-Null texts and texts without words are in no group.  Rows equal in id and text
-are exact copies of one another.  The document of the least id stays.
+compared with the least one, in parts of PART members, so that a band that holds
+a third of all texts is the work of many tasks.  What a band still holds outside
+its largest component is compared with the members of other components; where
+that is more than REST texts, the pairs to compare come from rare elements
+instead (`rare_pairs`), which no pair of the threshold can lack.  So no link is
+left out, and no band emits all its pairs.
+
+A pair of similarity 0.6 shares a band with probability 0.91, one of 0.7 with
+0.995.  Null texts and texts without words are in no group.  Rows equal in id and
+text are exact copies of one another.  The document of the least id stays, a null
+id first.  `doc_id` is a whole number or null.  `near_duplicates` ignores other
+columns, `without_near_duplicates` keeps them all.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,10 +37,13 @@ from trawl.llm.common import c, fresh, row_key
 from trawl.llm.hashing import U, Words, mix, prefix, range_hash, slices, utf8
 from trawl.scratch import written
 
-BANDS = 24
+BANDS = 30
 ROWS = 5
 THRESHOLD = 0.6
+#: Pairs of one text that a task compares; texts outside the largest component of a band that meet all others in it; texts of a large component.
+PART, REST, LARGE = 2048, 64, 1000
 LOW48 = U((1 << 48) - 1)
+EPSILON = 1e-6
 SIGNED = "doc_id long, key long, content long, content2 long, bands array<long>"
 
 
@@ -133,12 +143,14 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b and the weighted Jaccard similarity; each text a is hashed once for all its pairs.
+    """a, b and the weighted Jaccard similarity of pairs (a, b, n), n being a bound of the pairs that share a.
 
-    Texts are joined by merging at every size: the pairs grow with the corpus, so they are never broadcast.
+    A text a is hashed once for each part of its pairs.  Texts are joined by merging
+    at every size: the pairs grow with the corpus, so they are never broadcast.
     """
-    heads = texts.join(pairs.select(F.col("a").alias("key")).distinct().hint("merge"), "key", "left_semi").select(F.col("key").alias("a"), F.lit(None).cast("long").alias("b"), "text")
-    tails = pairs.hint("merge").join(texts.withColumnRenamed("key", "b"), "b").select("a", "b", "text")
+    parted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / PART)).alias("part"))
+    heads = texts.join(parted.select(F.col("a").alias("key"), "part").distinct().hint("merge"), "key").select(F.col("key").alias("a"), F.lit(None).cast("long").alias("b"), "text", "part")
+    tails = parted.hint("merge").join(texts.withColumnRenamed("key", "b"), "b").select("a", "b", "text", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, head_key = None, None
@@ -163,8 +175,63 @@ def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*found), (pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "similarity"])
 
-    both = heads.unionByName(tails).repartition(F.col("a")).sortWithinPartitions("a", F.col("b").asc_nulls_first())
-    return both.mapInArrow(run, "a long, b long, similarity double")
+    both = heads.unionByName(tails).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return both.select("a", "b", "text").mapInArrow(run, "a long, b long, similarity double")
+
+
+def elements(texts: DataFrame) -> DataFrame:
+    """A row for each element of each text: key, root, total weight, element, weight."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(2))
+            for a, b in slices(offsets):
+                words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                doc, element, weight = multisets(words)
+                total = np.bincount(doc, weights=weight, minlength=b - a).astype(np.int64)
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(doc)), part.column(1).take(pa.array(doc)), pa.array(total[doc]), pa.array(element.view(np.int64)), pa.array(weight.astype(np.int64))],
+                    ["key", "root", "total", "element", "weight"],
+                )
+
+    return texts.select("key", "root", "text").mapInArrow(run, "key long, root long, total long, element long, weight long")
+
+
+def rare_pairs(nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of all pairs of nodes (key, root) of different roots that may be as similar as the threshold.
+
+    Elements are ordered by the number of texts that have them.  Texts of weights
+    m <= n can only meet the threshold t when, in that order, the first m - 2tm / (1 + t)
+    of the one and the first n - tn of the other share an element behind which both
+    have enough weight left.  The texts of one large component never meet one another.
+    """
+    all_rows = written(elements(texts.join(nodes.hint("merge"), "key")), "elements")
+    spread = all_rows.groupBy("element").agg(F.count(F.lit(1)).alias("in_texts"))
+    order = Window.partitionBy("key").orderBy("in_texts", "element")
+    before = F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("weight")
+    first = all_rows.join(spread.hint("merge"), "element").withColumn("before", before)
+    large = nodes.groupBy("root").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LARGE).select("root", F.lit(True).alias("large"))
+    kept = first.where(F.col("before") <= F.col("total") * (1 - threshold) + EPSILON).join(large, "root", "left")
+    short = F.col("before") <= F.col("total") * (1 - 2 * threshold / (1 + threshold)) + EPSILON
+    rows = written(kept.select("element", "key", "root", "total", "before", F.coalesce("large", F.lit(False)).alias("large"), short.alias("short")), "rare")
+    x = rows.where("short").select("element", *[F.col(k).alias(f"x_{k}") for k in ("key", "root", "total", "before", "large")])
+    y = rows.select("element", *[F.col(k).alias(f"y_{k}") for k in ("key", "root", "total", "before", "large")])
+    # Rows of large components meet those of one other component at a time.
+    others = x.where("x_large").select("element", "x_root").distinct()
+    toward = y.where("y_large").join(others.hint("merge"), "element").where("x_root <> y_root")
+    met = (
+        x.where("not x_large").join(y.hint("merge"), "element").where("x_root <> y_root")
+        .unionByName(x.where("x_large").join(y.where("not y_large").hint("merge"), "element"))
+        .unionByName(x.where("x_large").join(toward.hint("merge"), ["element", "x_root"]))
+    )
+    left = F.least(F.col("x_total") - F.col("x_before"), F.col("y_total") - F.col("y_before"))
+    may = (
+        ((F.col("x_total") < F.col("y_total")) | ((F.col("x_total") == F.col("y_total")) & (F.col("x_key") < F.col("y_key"))))
+        & (F.col("x_total") >= F.col("y_total") * threshold - EPSILON)
+        & (left >= (F.col("x_total") + F.col("y_total")) * (threshold / (1 + threshold)) - EPSILON)
+    )
+    return met.where(may).select(F.least("x_key", "y_key").alias("a"), F.greatest("x_key", "y_key").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -173,6 +240,7 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn until nothing changes.
     """
     star = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "star")
+    now = _checksum(star)
     while True:
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -181,64 +249,81 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(lower, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         new = written(small, "star")
-        if new.exceptAll(star).isEmpty() and star.exceptAll(new).isEmpty():
+        was, now = now, _checksum(new)
+        if was == now:
             return new.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(new.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         star = new
 
 
-def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, key, keep_id, nth of every document in a group of two or more; nth 1 stays."""
-    signs = written(signed(docs, bands, rows), "signatures")
-    content = Window.partitionBy("content", "content2")
-    nodes = signs.withColumn("node", F.min("key").over(content))
-    heads = signs.groupBy("content", "content2").agg(F.min("key").alias("node"), F.first("bands").alias("bands"))
+def _checksum(star: DataFrame) -> tuple:
+    """The number of edges and two sums over them: equal for equal sets of edges."""
+    sums = [F.sum(F.xxhash64(F.lit(k), "u", "v").cast("decimal(38,0)")) for k in (1, 2)]
+    return tuple(star.agg(F.count(F.lit(1)), *sums).first())
+
+
+def linked(heads: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """(node, root) of the heads (node, bands) that are linked to another."""
     band = heads.select("node", F.explode("bands").alias("band"))
-    shared = written(
-        band.groupBy("band").agg(F.collect_list("node").alias("nodes")).where(F.size("nodes") > 1).select(F.array_min("nodes").alias("first"), F.array_sort("nodes").alias("nodes")).distinct(),
-        "bands",
-    )
-    member = shared.select("first", "nodes", F.explode("nodes").alias("node"))
+    shared = written(band.groupBy("band").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    member = written(band.join(shared.hint("merge"), "band"), "members")
     texts = written(
         docs.select(row_key().alias("key"), c("text").alias("text")).join(member.select(F.col("node").alias("key")).distinct().hint("merge"), "key", "left_semi").dropDuplicates(["key"]), "texts"
     )
-    pairs = member.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = member.where("node <> first").groupBy(F.col("first").alias("a"), F.col("node").alias("b")).agg(F.max("n").alias("n"))
     close = written(similarities(pairs, texts), "pairs")
     root = components(close.where(F.col("similarity") >= threshold))
 
-    # What a band still holds in different components is compared pair by pair.
-    labelled = member.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = labelled.groupBy("nodes").agg(F.collect_list(F.struct("node", "root")).alias("of"), F.countDistinct("root").alias("n")).where("n > 1")
-    x = split.select("of", F.explode("of").alias("x"))
-    y = x.select("x", F.explode("of").alias("y")).where("x.node < y.node and x.root <> y.root").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    late = written(similarities(y.join(close, ["a", "b"], "left_anti"), texts), "pairs")
-    root = components(close.unionByName(late).where(F.col("similarity") >= threshold).select("a", "b"))
-
-    labelled = nodes.join(root, "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("root"))
-    group = Window.partitionBy("root")
-    order = group.orderBy(F.col("doc_id").asc_nulls_first(), "key")
-    return (
-        labelled.withColumns({"n": F.count(F.lit(1)).over(group), "nth": F.row_number().over(order), "keep_id": F.first("doc_id").over(order)})
-        .where("n > 1")
-        .select("doc_id", "key", "keep_id", "nth")
-    )
+    # The bands that still hold several components.
+    labelled = member.select("band", "node").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = labelled.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    several = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most")).where("n > most.n").select("band", "n", F.col("most.root").alias("main"), (F.col("n") - F.col("most.n")).alias("rest"))
+    inside = written(labelled.join(several.hint("merge"), "band"), "open")
+    few = inside.where(F.col("rest") <= REST)
+    x = few.where("root <> main").select("band", F.col("node").alias("x"), F.col("root").alias("x_root"))
+    met = few.select("band", "node", "root", "n").join(x.hint("merge"), "band").where("root <> x_root")
+    late = met.groupBy(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).agg(F.max("n").alias("n"))
+    many = inside.where(F.col("rest") > REST)
+    if not many.isEmpty():
+        rare = rare_pairs(many.select(F.col("node").alias("key"), "root").distinct(), texts, threshold)
+        late = late.unionByName(rare.withColumn("n", F.lit(64 * PART).cast("long"))).groupBy("a", "b").agg(F.max("n").alias("n"))
+    more = written(similarities(late.join(close.hint("merge"), ["a", "b"], "left_anti"), texts), "pairs")
+    return components(close.unionByName(more).where(F.col("similarity") >= threshold).select("a", "b"))
+
+
+def groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, key, keep_id, keep_key of every document in a group of two or more; the one of keep_key stays.
+
+    Nothing but counts and least values is worked out a group, so its size is no matter; what is joined to
+    the rows of a group is one row, and adaptive execution splits the rows of a large one.
+    """
+    signs = written(signed(docs, bands, rows), "signatures")
+    heads = written(signs.groupBy("content", "content2").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")), "heads")
+    root = linked(heads.select("node", "bands"), docs, threshold)
+    of = heads.select("content", "content2", "node", "n").join(root, "node", "left").where("n > 1 or root is not null").select("content", "content2", F.coalesce("root", "node").alias("root"))
+    members = written(signs.select("doc_id", "key", "content", "content2").join(of.hint("merge"), ["content", "content2"]).select("doc_id", "key", "root"), "grouped")
+    least = members.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("least")).select("root", F.col("least.doc_id").alias("keep_id"), F.col("least.key").alias("keep_key"))
+    return members.join(least.hint("merge"), "root").select("doc_id", "key", "keep_id", "keep_key")
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """doc_id and dup_of: every document that goes, and the one of its group that stays."""
-    return groups(docs, **options).where("nth > 1").select("doc_id", F.col("keep_id").alias("dup_of"))
+    found = written(groups(docs, **options), "groups")
+    again = found.where("key = keep_key").groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # A kept row that the table repeats goes n - 1 times.
+    thousands = again.select("doc_id", F.col("n") - 1, F.explode(F.sequence(F.lit(0), F.expr("(n - 2) div 1000"))).alias("k")).toDF("doc_id", "n", "k")
+    repeats = thousands.select("doc_id", F.col("doc_id").alias("dup_of"), F.explode(F.sequence(F.lit(1), F.least(F.lit(1000), F.col("n") - F.col("k") * 1000))).alias("_")).drop("_")
+    return found.where("key <> keep_key").select("doc_id", F.col("keep_id").alias("dup_of")).unionByName(repeats)
 
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One document of each group and all others; the columns of `docs`."""
-    found = written(groups(docs, **options), "groups")
-    by_key = written(found.groupBy("key").agg(F.min("nth").alias("nth"), F.count(F.lit(1)).alias("copies")), "keys")
-    key, nth = fresh(docs, "_key"), fresh(docs, "_nth")
+    by_key = written(groups(docs, **options).groupBy("key").agg(F.first("keep_key").alias("keep_key"), F.count(F.lit(1)).alias("copies")), "keys")
+    key = fresh(docs, "_key")
     keyed = docs.withColumn(key, row_key())
-    gone = by_key.where("nth > 1 or copies > 1").select(F.col("key").alias(key))
+    gone = by_key.where("key <> keep_key or copies > 1").select(F.col("key").alias(key))
     kept = keyed.join(gone.hint("merge"), key, "left_anti")
     # A kept row that the table repeats stays once.
-    repeated = by_key.where("nth = 1 and copies > 1").select(F.col("key").alias(key))
+    repeated = by_key.where("key = keep_key and copies > 1").select(F.col("key").alias(key))
     if not repeated.isEmpty():
-        one = keyed.join(repeated, key, "left_semi").withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(F.col(nth) == 1).drop(nth)
-        kept = kept.unionByName(one)
+        kept = kept.unionByName(keyed.join(repeated.hint("merge"), key, "left_semi").dropDuplicates([key]))
     return kept.select(*[c(name) for name in docs.columns])
