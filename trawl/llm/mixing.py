@@ -12,6 +12,8 @@ source has run; a source that is below its share runs through its blocks again
 1 / resolution first, and a source is less than one block from its rounded share.
 
 A null source is a source of its own.  Repeated rows are documents of their own.
+An empty table gives no slots.  Weights under 1 are refused, as a source without a
+share has no slot; leave its documents out instead.  Weights count documents.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ from pyspark.sql.window import Window
 from trawl.llm.common import BROADCAST_BYTES, c, row_key
 
 BLOCK_DOCS = 64
-#: Of ORDER_SQL.
-RESOLUTION = 1000
+#: Rows of a task that writes documents in training order.
+TASK_DOCS = 50_000
 SEED = 7
 SCALE = 1_000_000
 
@@ -166,38 +168,33 @@ def mixing_order(docs: DataFrame, source: str = "source", **options) -> DataFram
 
 
 def mixed(docs: DataFrame, source: str = "source", **options) -> DataFrame:
-    """The documents in training order, as often as their blocks run; the columns of `docs`."""
+    """The documents in training order, as often as their blocks run; the columns of `docs`.
+
+    Partition after partition, and so file after file where it is written, holds the order.
+    """
     runs, slots = scheduled(slim(docs, source, F.struct(*[c(name) for name in docs.columns]).alias("_doc")), **options)
     spark = docs.sparkSession
-    tasks = max(1, min(slots, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    tasks = max(1, min(slots, max(int(spark.conf.get("spark.sql.shuffle.partitions")), slots * BLOCK_DOCS // TASK_DOCS)))
     laid = runs.repartitionById(tasks, F.expr(f"cast(_slot * {tasks} div {max(1, slots)} as int)")).sortWithinPartitions("_slot", "_at")
     return laid.select("_doc.*")
 
 
-#: DuckDB: the order for shares rounded to 1 / RESOLUTION, the period by recursion over its slots.
-#: It is that of `resolution=RESOLUTION`, and the default order as far as rounding moves no slot.
+#: DuckDB: the default order, by recursion over the slots.
 ORDER_SQL = f"""
 WITH RECURSIVE docs AS (SELECT doc_id, source, coalesce('=' || source, '') AS s, md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS o FROM documents),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY o, doc_id) - 1 AS r FROM docs),
 sizes AS (SELECT s, count(*) AS n, (count(*) + {BLOCK_DOCS - 1}) // {BLOCK_DOCS} AS blocks FROM docs GROUP BY s),
-weights AS (SELECT s, blocks, w, sum(w) OVER () AS total, count(*) OVER () AS k FROM (
+weights AS (SELECT s, blocks, w, sum(w) OVER () AS total FROM (
   SELECT s, blocks, ((h::HUGEINT * q::HUGEINT * e::HUGEINT) // {SCALE**2}::HUGEINT) AS w FROM (
     SELECT *, floor(sqrt(q * {SCALE}.0))::BIGINT AS e FROM (
       SELECT *, floor(sqrt(h * {SCALE}.0))::BIGINT AS q FROM (SELECT *, floor(sqrt(n * {SCALE**2}.0))::BIGINT AS h FROM sizes))))),
-shares AS (SELECT s, blocks, 1 + w * ({RESOLUTION} - k) // total AS base, row_number() OVER (ORDER BY (w * ({RESOLUTION} - k)) % total DESC, s) AS nth,
-  {RESOLUTION} - sum(1 + w * ({RESOLUTION} - k) // total) OVER () AS spare FROM weights),
-share AS (SELECT s, blocks, (base + CASE WHEN nth <= spare THEN 1 ELSE 0 END)::BIGINT AS q FROM shares),
-run(slot, s, q, i, hit) AS (
-  SELECT -1::BIGINT, s, q, 0::BIGINT, FALSE FROM share
+run(slot, s, blocks, w, total, i, hit, going) AS (
+  SELECT -1::BIGINT, s, blocks, w::HUGEINT, total::HUGEINT, 0::HUGEINT, FALSE, TRUE FROM weights
   UNION ALL
-  SELECT slot, s, q, i + CASE WHEN nth = 1 THEN 1 ELSE 0 END, nth = 1 FROM (
-    SELECT slot + 1 AS slot, s, q, i, row_number() OVER (ORDER BY CASE WHEN i < q AND i * {RESOLUTION} // q <= slot + 1 THEN ((i + 1) * {RESOLUTION} + q - 1) // q ELSE 1e9::BIGINT END, s) AS nth
-    FROM run WHERE slot + 1 < {RESOLUTION})),
-pattern AS (SELECT s, q, i - 1 AS j, slot FROM run WHERE hit),
-last AS (SELECT max((blocks - 1) // p.q * {RESOLUTION} + p.slot) AS t FROM share JOIN pattern p ON share.s = p.s AND p.j = (blocks - 1) % p.q),
-placed AS (SELECT r.doc_id, r.source, r.s, r.r // {BLOCK_DOCS} AS block, r.r % {BLOCK_DOCS} AS place, blocks, q FROM ranked r JOIN share USING (s)),
-runs AS (SELECT *, unnest(range(0, (SELECT t FROM last) // blocks + 2)) AS epoch FROM placed)
-SELECT ((epoch * blocks + block) // runs.q * {RESOLUTION} + p.slot)::BIGINT AS slot, place::BIGINT AS place, doc_id, source, block::BIGINT AS block, epoch::BIGINT AS epoch
-FROM runs JOIN pattern p ON p.s = runs.s AND p.j = (epoch * blocks + block) % runs.q
-WHERE (epoch * blocks + block) // runs.q * {RESOLUTION} + p.slot <= (SELECT t FROM last)
+  SELECT slot, s, blocks, w, total, ran, hit, NOT bool_and(ran >= blocks) OVER () FROM (
+    SELECT *, i + hit::INT AS ran FROM (
+      SELECT slot + 1 AS slot, s, blocks, w, total, i,
+        row_number() OVER (ORDER BY i * total // w > slot + 1, ((i + 1) * total + w - 1) // w, s) = 1 AS hit FROM run WHERE going)))
+SELECT slot, (r % {BLOCK_DOCS})::BIGINT AS place, doc_id, source, (r // {BLOCK_DOCS})::BIGINT AS block, ((i - 1) // blocks)::BIGINT AS epoch
+FROM ranked JOIN run USING (s) WHERE hit AND (i - 1) % blocks = r // {BLOCK_DOCS}
 """
