@@ -1,15 +1,20 @@
 """Operator 9: an interpolated modified Kneser-Ney model of token trigrams.
 
 Spark counts the trigrams of all documents once.  They are partitioned by their
-middle token, so each partition has all it needs for contexts (w1 w2),
-continuations (. w2 w3) and the lower order: one exchange builds every level.  A
-partition's trigrams are one sorted array of 48-bit keys with their
-log-probabilities; the partitions follow the order of the keys.  Workers map the
-arrays into memory and look tokens up in sorted batches.
+middle token, so a partition has all it needs for contexts (w1 w2), continuations
+(. w2 w3) and the lower order.  A middle token of more trigrams than a partition
+should hold is split by the token before it: contexts stay whole, and the counts of
+its continuations, no more than the vocabulary, are added in a second small
+exchange.  The number of partitions follows the number of tokens.  A partition's
+trigrams are one sorted array of 48-bit keys with their log-probabilities; the
+partitions follow the order of the keys.  Workers map the arrays into memory and
+look tokens up in sorted batches.  (Where the shared folder is not a mounted one, a
+worker reads arrays whole and holds CACHE_BYTES of them.)
 
 Texts begin with two start marks and end with an end mark, which is scored.
 Null and empty texts are not counted; they score zero tokens and no perplexity.
-Repeated rows count, and score, each.  Other columns are ignored.
+Repeated rows count, and score, each.  Other columns are ignored.  An empty table
+gives no rows.  `doc_id` is a whole number or null.
 """
 
 from __future__ import annotations
@@ -32,30 +37,65 @@ from trawl.scratch import new_path, written
 
 START, END = 65534, 65535
 CHUNK = 4_000_000
+TOKENS_A_PART = 4_000_000
+MOST_PARTS = 20_000
+CACHE_BYTES = 256_000_000
 SCATTER = U(40503)
 
 
+class Layout(NamedTuple):
+    """For each scattered middle token its first partition and its number of partitions."""
+
+    base: np.ndarray
+    splits: np.ndarray
+    parts: int
+
+    def part_of(self, key: np.ndarray) -> np.ndarray:
+        middle = (key >> U(32)).astype(np.int64)
+        return self.base[middle] + ((key >> U(16) & U(0xFFFF)).astype(np.int64) * self.splits[middle] >> 16)
+
+    def group_of(self, key: np.ndarray) -> np.ndarray:
+        """The partition that has a middle token's continuations."""
+        return self.base[(key >> U(32)).astype(np.int64)]
+
+
 class Model(NamedTuple):
-    """Where a model lies, its number of partitions and its unigram level."""
+    """Where a model lies, its layout and its unigram level."""
 
     folder: str
-    parts: int
+    layout: Layout
     vocabulary_size: int
     discounts: tuple[tuple[float, float, float], ...]
     unigram: np.ndarray
 
 
+def layout_of(counts: np.ndarray, parts: int) -> Layout:
+    """About `parts` partitions of equal counts, given those of the middle tokens."""
+    spread = np.zeros(65536, dtype=np.int64)
+    spread[scatter(np.arange(65536)).astype(np.int64)] = counts
+    most = max(1, -(-int(spread.sum()) // parts))
+    base, splits = np.zeros(65536, np.int64), np.ones(65536, np.int64)
+    part = held = 0
+    for i, n in enumerate(spread.tolist()):
+        if held and held + n > most:
+            part, held = part + 1, 0
+        base[i] = part
+        if n > most:
+            splits[i] = -(-n // most)
+            part += int(splits[i])
+        else:
+            held += n
+    last = part + 1 if held or not part else part
+    return Layout(np.minimum(base, last - 1), splits, last)
+
+
 def scatter(token: np.ndarray) -> np.ndarray:
     """A bijection of 16-bit ids that spreads the frequent ones."""
     return token.astype(U) * SCATTER & U(0xFFFF)
 
 
 def keys_of(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
-    return scatter(w2) << U(32) | w1.astype(U) << U(16) | w3.astype(U)
-
-
-def part_of(key: np.ndarray, parts: int) -> np.ndarray:
-    return ((key >> U(32)) * U(parts) >> U(16)).astype(np.int64)
+    return scatter(w2) << U(32) | scatter(w1) << U(16) | w3.astype(U)
 
 
 def tokens_of(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
@@ -124,15 +164,26 @@ def save(folder: str, name: str, **arrays: np.ndarray) -> None:
         store.move(f"{root}/{name}-{kind}.npy{tail}", f"{root}/{name}-{kind}.npy")
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=10_000)
+def _mapped(path: str) -> np.ndarray:
+    return np.load(path, mmap_mode="r")
+
+
+_HELD: dict[str, np.ndarray] = {}
+
+
 def load(folder: str, name: str, kind: str) -> np.ndarray:
     """A stored array, mapped where the folder is a mounted one."""
     store, root = _store(folder)
     path = f"{root}/{name}-{kind}.npy"
     if store.type_name == "local":
-        return np.load(path, mmap_mode="r")
-    with store.open_input_file(path) as handle:
-        return np.load(io.BytesIO(handle.read()))
+        return _mapped(path)
+    if path not in _HELD:
+        with store.open_input_file(path) as handle:
+            _HELD[path] = np.load(io.BytesIO(handle.read()))
+        while len(_HELD) > 1 and sum(x.nbytes for x in _HELD.values()) > CACHE_BYTES:
+            del _HELD[next(iter(_HELD))]
+    return _HELD[path]
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
@@ -158,10 +209,56 @@ def level(group: np.ndarray, count: np.ndarray, d: tuple[float, float, float]) -
     return own / total[nth], nth, group[first], np.bincount(nth, weights=off, minlength=len(first)) / total
 
 
-def build(tokens: DataFrame, vocabulary_size: int, parts: int) -> Model:
+def middles(tokens: DataFrame) -> np.ndarray:
+    """How many trigrams each token is the middle of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(65536, dtype=np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                texts = batch.column(0).slice(at, 256).to_pylist()
+                found += np.bincount(np.frombuffer(b"".join(texts), np.uint16), minlength=65536)
+                found[START] += sum(map(bool, texts))
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], ["at", "n"])
+
+    out = np.zeros(65536, dtype=np.int64)
+    for at, n in tokens.select("tokens").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n")).collect():
+        out[at] = n
+    return out
+
+
+STATS = "kind long, at long, value long, bucket int, pairs binary, before binary"
+
+
+def _stats(pairs: np.ndarray | None, before: np.ndarray | None, counts: np.ndarray | None) -> pa.RecordBatch:
+    """Numbers of continuations by last token (kind 1), and of counts of one to four (kinds 2 and 3)."""
+    kind, at, value = [], [], []
+    if pairs is not None:
+        last, types = np.unique(pairs & U(0xFFFF), return_counts=True)
+        kind, at, value = [np.full(len(last), 1)], [last.astype(np.int64)], [types]
+    for k, x in ((2, before), (3, counts)):
+        if x is not None:
+            kind.append(np.full(4, k))
+            at.append(np.arange(1, 5))
+            value.append([np.count_nonzero(x == n) for n in range(1, 5)])
+    columns = [pa.array(np.concatenate(x), pa.int64()) for x in (kind, at, value)]
+    n = len(columns[0])
+    return pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], ["kind", "at", "value", "bucket", "pairs", "before"])
+
+
+def _bytes(x: np.ndarray) -> pa.Array:
+    return pa.array([x.tobytes()], pa.large_binary()).cast(pa.binary())
+
+
+def build(tokens: DataFrame, vocabulary_size: int) -> Model:
     """Count, discount and store the model below the shared folder."""
     spark = tokens.sparkSession
     folder = new_path(spark, "trigrams")
+    n_middle = middles(tokens)
+    layout = layout_of(n_middle, min(MOST_PARTS, max(spark.sparkContext.defaultParallelism, int(n_middle.sum()) // TOKENS_A_PART)))
+    hot = np.flatnonzero(layout.splits > 1)
+    split = {int(p): int(layout.base[i]) for i in hot for p in range(layout.base[i], layout.base[i] + layout.splits[i])}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, done = [], 0, []
@@ -183,62 +280,98 @@ def build(tokens: DataFrame, vocabulary_size: int, parts: int) -> Model:
         if not done:
             return
         keys, counts = summed(np.concatenate([k for k, _ in done]), np.concatenate([n for _, n in done]))
-        part = part_of(keys, parts)
+        part = layout.part_of(keys)
         first = np.flatnonzero(np.diff(part, prepend=-1))
         for a, b in zip(first, [*first[1:], len(keys)]):
-            data = [pa.array([x.tobytes()], pa.large_binary()).cast(pa.binary()) for x in (keys[a:b].astype("<u8"), counts[a:b].astype("<i8"))]
-            yield pa.RecordBatch.from_arrays([pa.array([int(part[a])], pa.int32()), *data], ["part", "keys", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([int(part[a])], pa.int32()), _bytes(keys[a:b].astype("<u8")), _bytes(counts[a:b].astype("<i8"))], ["part", "keys", "counts"])
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def collected(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The summed arrays of each partition; what comes in is added up before it takes twice the room."""
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        grown: dict[int, int] = {}
+
+        def add_up(part: int) -> tuple[np.ndarray, np.ndarray]:
+            return summed(np.concatenate([k for k, _ in held[part]]), np.concatenate([n for _, n in held[part]]))
+
         for batch in batches:
             for part, keys, counts in zip(*[x.to_pylist() for x in batch.columns]):
                 held.setdefault(part, []).append((np.frombuffer(keys, "<u8"), np.frombuffer(counts, "<i8")))
-        for part, found in held.items():
-            keys, counts = summed(np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found]))
+                grown[part] = grown.get(part, 0) + len(keys) // 8
+                if grown[part] > max(CHUNK, 2 * len(held[part][0][0])):
+                    held[part] = [add_up(part)]
+                    grown[part] = len(held[part][0][0])
+        for part in held:
+            yield part, *add_up(part)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, keys, counts in collected(batches):
             tail = keys >> U(32) << U(16) | keys & U(0xFFFF)
             starts = keys >> U(32) == scatter(np.array([START]))[0]
             pairs, before = summed(tail, np.where(starts, counts, 1))
-            save(folder, f"{part:06d}", keys=keys, counts=counts, pairs=pairs, before=before)
-            last, types = np.unique(pairs & U(0xFFFF), return_counts=True)
-            kind = [np.full(len(last), 1), np.full(4, 2), np.full(4, 3)]
-            at = [last.astype(np.int64), np.arange(1, 5), np.arange(1, 5)]
-            value = [types, *[[np.count_nonzero(x == k) for k in range(1, 5)] for x in (before, counts)]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (kind, at, value)], ["kind", "at", "value"])
-
-    laid = tokens.select("tokens").mapInArrow(count, "part int, keys binary, counts binary").repartitionById(parts, F.col("part"))
-    found = laid.mapInArrow(merge, "kind long, at long, value long").groupBy("kind", "at").agg(F.sum("value").alias("value")).collect()
-    unigrams, seen = np.zeros(65536, dtype=np.int64), {2: [0] * 4, 3: [0] * 4}
-    for kind, at, value in found:
+            save(folder, f"{part:06d}", keys=keys, counts=counts)
+            if part not in split:
+                save(folder, f"{part:06d}", pairs=pairs, before=before)
+                yield _stats(pairs, before, counts)
+                continue
+            yield _stats(None, None, counts)
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array([split[part]], pa.int32()), _bytes(pairs), _bytes(before.astype("<i8"))], ["kind", "at", "value", "bucket", "pairs", "before"])
+
+    def continued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, pairs, before in collected(batches):
+            save(folder, f"{bucket:06d}", pairs=pairs, before=before)
+            yield _stats(pairs, before, None)
+
+    laid = tokens.select("tokens").mapInArrow(count, "part int, keys binary, counts binary").repartitionById(layout.parts, F.col("part"))
+    stats = written(laid.mapInArrow(merge, STATS), "counts")
+    seen = stats
+    if split:
+        seen = seen.unionByName(stats.where("bucket is not null").select("bucket", "pairs", "before").repartition(len(hot), "bucket").mapInArrow(continued, STATS))
+    unigrams, times = np.zeros(65536, dtype=np.int64), {2: [0] * 4, 3: [0] * 4}
+    for kind, at, value in seen.where("kind is not null").groupBy("kind", "at").agg(F.sum("value").alias("value")).collect():
         if kind == 1:
             unigrams[at] = value
         else:
-            seen[kind][at - 1] = value
+            times[kind][at - 1] = value
     d1 = discounts([int(np.count_nonzero(unigrams == k)) for k in range(1, 5)])
-    d2, d3 = discounts(seen[2]), discounts(seen[3])
+    d2, d3 = discounts(times[2]), discounts(times[3])
     own, off = discounted(unigrams, d1)
     total = max(1, unigrams.sum())
     unigram = own / total + (off.sum() / total if unigrams.any() else 1.0) / (vocabulary_size + 1)
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in batch.column(0).to_pylist():
-                name = f"{part:06d}"
-                store, root = _store(folder)
-                if store.get_file_info(f"{root}/{name}-keys.npy").type.name == "NotFound":
-                    continue
-                pairs, before = load(folder, name, "pairs"), load(folder, name, "before")
-                share, nth, heads, left = level(pairs >> U(16), before, d2)
-                second = share + left[nth] * unigram[(pairs & U(0xFFFF)).astype(np.int64)]
-                keys, counts = load(folder, name, "keys"), load(folder, name, "counts")
-                share, nth, contexts, rest = level(keys >> U(16), counts, d3)
-                tail = keys >> U(32) << U(16) | keys & U(0xFFFF)
-                third = share + rest[nth] * second[np.searchsorted(pairs, tail)]
-                save(folder, name, logs=np.log(third).astype(np.float32), second=second, heads=heads, left=left, contexts=contexts, rest=rest)
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64())], ["id"])
-
-    spark.range(0, parts, 1, parts).mapInArrow(finish, "id long").count()
-    return Model(folder, parts, vocabulary_size, (d1, d2, d3), unigram)
+    def finish(ids: list[int], second_level: bool) -> None:
+        """The probabilities of partitions: those of continuations, and those of trigrams where their continuations are done."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in [ids[i] for i in batch.column(0).to_pylist()]:
+                    name, of = f"{part:06d}", f"{split.get(part, part):06d}"
+                    store, root = _store(folder)
+                    if store.get_file_info(f"{root}/{of}-pairs.npy").type.name == "NotFound" or store.get_file_info(f"{root}/{name}-keys.npy").type.name == "NotFound" and not second_level:
+                        continue
+                    pairs = load(folder, of, "pairs")
+                    if second_level:
+                        before = load(folder, of, "before")
+                        share, nth, heads, left = level(pairs >> U(16), before, d2)
+                        second = share + left[nth] * unigram[(pairs & U(0xFFFF)).astype(np.int64)]
+                        save(folder, name, second=second, heads=heads, left=left)
+                        if part in split:
+                            continue
+                    else:
+                        second = load(folder, of, "second")
+                    keys, counts = load(folder, name, "keys"), load(folder, name, "counts")
+                    share, nth, contexts, rest = level(keys >> U(16), counts, d3)
+                    tail = keys >> U(32) << U(16) | keys & U(0xFFFF)
+                    third = share + rest[nth] * second[np.searchsorted(pairs, tail)]
+                    save(folder, name, logs=np.log(third).astype(np.float32), contexts=contexts, rest=rest)
+                yield pa.RecordBatch.from_arrays([batch.column(0)], ["id"])
+
+        if ids:
+            spark.range(0, len(ids), 1, len(ids)).mapInArrow(run, "id long").count()
+
+    finish([p for p in range(layout.parts) if split.get(p, p) == p], True)
+    finish(sorted(split), False)
+    return Model(folder, layout, vocabulary_size, (d1, d2, d3), unigram)
 
 
 def _found(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -247,17 +380,25 @@ def _found(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, table[at] == wanted if len(table) else np.zeros(len(wanted), dtype=bool)
 
 
-def backed_off(model: Model, name: str | None, keys: np.ndarray) -> np.ndarray:
+def _loaded(model: Model, part: int, kind: str) -> np.ndarray | None:
+    try:
+        return load(model.folder, f"{part:06d}", kind)
+    except FileNotFoundError:
+        return None
+
+
+def backed_off(model: Model, part: int, group: int, keys: np.ndarray) -> np.ndarray:
     """Log-probabilities of trigrams that the model doesn't hold."""
     p = model.unigram[(keys & U(0xFFFF)).astype(np.int64)]
-    if name is None:
-        return np.log(p)
-    at, hit = _found(load(model.folder, name, "heads"), keys >> U(32))
-    p = np.where(hit, load(model.folder, name, "left")[at] * p, p)
-    at, hit = _found(load(model.folder, name, "pairs"), keys >> U(32) << U(16) | keys & U(0xFFFF))
-    p = np.where(hit, load(model.folder, name, "second")[at], p)
-    at, hit = _found(load(model.folder, name, "contexts"), keys >> U(16))
-    return np.log(np.where(hit, load(model.folder, name, "rest")[at] * p, p))
+    if (heads := _loaded(model, group, "heads")) is not None:
+        at, hit = _found(heads, keys >> U(32))
+        p = np.where(hit, load(model.folder, f"{group:06d}", "left")[at] * p, p)
+        at, hit = _found(load(model.folder, f"{group:06d}", "pairs"), keys >> U(32) << U(16) | keys & U(0xFFFF))
+        p = np.where(hit, load(model.folder, f"{group:06d}", "second")[at], p)
+    if (contexts := _loaded(model, part, "contexts")) is not None:
+        at, hit = _found(contexts, keys >> U(16))
+        p = np.where(hit, load(model.folder, f"{part:06d}", "rest")[at] * p, p)
+    return np.log(p)
 
 
 def log_probabilities(model: Model, keys: np.ndarray) -> np.ndarray:
@@ -267,19 +408,17 @@ def log_probabilities(model: Model, keys: np.ndarray) -> np.ndarray:
         # Sorted queries go through the mapped arrays from front to back.
         packed = np.sort(keys[a : a + 65536] << U(16) | np.arange(min(65536, len(keys) - a), dtype=U))
         wanted, place = packed >> U(16), a + (packed & U(0xFFFF)).astype(np.int64)
-        part = part_of(wanted, model.parts)
+        part, group = model.layout.part_of(wanted), model.layout.group_of(wanted)
         first = np.flatnonzero(np.diff(part, prepend=-1))
         for i, j in zip(first, [*first[1:], len(wanted)]):
-            name, own = f"{part[i]:06d}", wanted[i:j]
-            try:
-                table = load(model.folder, name, "keys")
-            except FileNotFoundError:
-                out[place[i:j]] = backed_off(model, None, own)
-                continue
-            at, hit = _found(table, own)
-            logs = load(model.folder, name, "logs")[at].astype(float)
+            own, logs = wanted[i:j], None
+            if (table := _loaded(model, int(part[i]), "keys")) is not None:
+                at, hit = _found(table, own)
+                logs = load(model.folder, f"{part[i]:06d}", "logs")[at].astype(float)
+            else:
+                hit, logs = np.zeros(len(own), dtype=bool), np.zeros(len(own))
             if not hit.all():
-                logs[~hit] = backed_off(model, name, own[~hit])
+                logs[~hit] = backed_off(model, int(part[i]), int(group[i]), own[~hit])
             out[place[i:j]] = logs
     return out
 
@@ -306,7 +445,5 @@ def scores(tokens: DataFrame, model: Model) -> DataFrame:
 
 def lm_scores(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """A model of all documents, and each document's score by it."""
-    spark = docs.sparkSession
     tokens = written(tokens_of(docs, vocabulary), "tokens")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return scores(tokens, build(tokens, encoder(vocabulary).end_id, min(parts, 65536)))
+    return scores(tokens, build(tokens, encoder(vocabulary).end_id))
