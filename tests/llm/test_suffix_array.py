@@ -5,6 +5,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from trawl.llm import suffix_array as suffix_array_module
 from trawl.llm.suffix_array import repeated_passages, suffix_array
 
 WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010ffff]+")
@@ -45,7 +46,7 @@ def brute(rows, k):
     return out
 
 
-def test_repeats_are_those_of_brute_force(spark):
+def test_repeats_are_those_of_brute_force(spark, monkeypatch):
     pick = random.Random(3)
     words = ["wörd", "Tea", "b", "C9", "longer", "x"] + [f"w{i}" for i in range(40)]
     prose = lambda n: "".join(pick.choice(words) + pick.choice([" ", ", ", "\n", ". é "]) for _ in range(n))
@@ -58,9 +59,23 @@ def test_repeats_are_those_of_brute_force(spark):
     rows += [(500 + i, rows[i][1]) for i in range(20)] + [(600, None), (601, ""), (602, "a " * 300), (None, passages[0]), (603, prose(20) * 5), (604, passages[1] + " " + passages[1])]
     rows += rows[:10]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "1 AS row", "2 AS key", "3 AS wanted")
-    got = [tuple(r) for r in repeated_passages(df.repartition(5), 10).collect()]
-    assert len(got) == len(set(got))
-    assert set(got) == brute(rows, 10)
+    for hot in (suffix_array_module.HOT_TEXTS, 6, 1):
+        monkeypatch.setattr(suffix_array_module, "HOT_TEXTS", hot)
+        got = [tuple(r) for r in repeated_passages(df.repartition(5), 10).collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == brute(rows, 10)
+
+
+def test_a_passage_in_half_of_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_array_module, "HOT_TEXTS", 50)
+    pick = random.Random(9)
+    word = lambda: "".join(pick.choice("abcdefgh") for _ in range(5))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passage = prose(16)
+    rows = [(i, f"{prose(pick.randint(0, 12))} {passage} {prose(pick.randint(0, 12))}" if i % 2 else prose(30)) for i in range(400)]
+    rows += [(i, "x y " * 15) for i in range(400, 480)] + [(480, passage + " " + passage)]
+    got = {tuple(r) for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 12).collect()}
+    assert got == brute(rows, 12) and len(got) > 270
 
 
 def test_empty_table(spark):

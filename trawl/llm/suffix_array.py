@@ -13,14 +13,17 @@ depends on nothing but its words, and consecutive windows of one key form a
 segment.  A key that occurs once holds no repeat.  The segments of the other
 keys are sorted, key by key; neighbours in the suffix array that share
 `min_words` words are repeats.  So each repeat of that length is found.  Equal
-segments, and documents of equal words, are sorted once and reported each.
+segments, and documents of equal words, are sorted once and reported each.  A key
+of more than HOT_TEXTS texts is split by longer runs first (`_hot_runs`), so that
+no task takes all texts that share a passage.
 
 Words are runs of letters and digits, compared in lower case (ASCII).  A passage
 may repeat across documents or inside one.  The first occurrence, by doc_id and
 place, is the one that is kept; a document whose words all stand in an earlier
 one is one passage.  Words compare by 64-bit hashes.  Null texts and texts
 shorter than `min_words` have no repeats.  Rows equal in id and text count as
-one document; a null id sorts first.  Other columns are ignored.
+one document; a null id sorts first.  Other columns are ignored.  An empty table
+gives no rows.  `doc_id` is a whole number or null.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ from trawl.scratch import written
 
 MIN_WORDS = 50
 BATCH_BYTES = 1_000_000
+HOT_TEXTS = 20_000
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -201,40 +205,80 @@ def _signed(docs: DataFrame, min_words: int) -> DataFrame:
     return docs.select(c("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), c("text").alias("text")).mapInArrow(run, "doc_id long, row long, content long, content2 long, start long, end long, keys array<long>")
 
 
+class _Chosen:
+    """The segments of the wanted keys in a slice of texts: `key`, `first` and `last` (words), `text` (row of the slice)."""
+
+    def __init__(self, part: pa.RecordBatch, own: np.ndarray, offsets: np.ndarray, wanted: np.ndarray, ends: np.ndarray, min_words: int):
+        self.part, self.own, self.words = part, own, Words(own, offsets)
+        keys, first, last = segments(self.words, min_words)
+        text = np.searchsorted(self.words.first, first, side="right") - 1
+        # A text's keys are matched as pairs of text and key.
+        ours = np.repeat(np.arange(part.num_rows), np.diff(ends))
+        take = np.flatnonzero(np.isin(mix(keys + mix(text.astype(U))), mix(wanted.view(U) + mix(ours.astype(U)))))
+        self.key, self.first, self.last, self.text = keys[take], first[take], last[take], text[take]
+        self.chars = char_positions(own) if len(take) else None
+        self.base = self.chars[offsets] if len(take) else None
+
+
+def _chosen(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[_Chosen]:
+    for batch in batches:
+        data, offsets = utf8(batch.column(2))
+        lists = batch.column(3)
+        wanted, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        for a, b in slices(offsets):
+            found = _Chosen(batch.slice(a, b - a), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], wanted[ends[a] : ends[b]], ends[a : b + 1], min_words)
+            if len(found.key):
+                yield found
+
+
 def _cut(texts: DataFrame, min_words: int) -> DataFrame:
     """The segments of the wanted keys: key, doc_id, row, place (characters before it) and its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = utf8(batch.column(2))
-            lists = batch.column(3)
-            wanted, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-            for a, b in slices(offsets):
-                own = data[offsets[a] : offsets[b]]
-                words = Words(own, offsets[a : b + 1] - offsets[a])
-                keys, first, last = segments(words, min_words)
-                text = np.searchsorted(words.first, first, side="right") - 1
-                # A text's keys are matched as pairs of text and key.
-                ours = np.repeat(np.arange(b - a), np.diff(ends[a : b + 1]))
-                both = mix(keys + mix(text.astype(U)))
-                take = np.flatnonzero(np.isin(both, mix(wanted[ends[a] - ends[0] : ends[b] - ends[0]].view(U) + mix(ours.astype(U)))))
-                if not len(take):
-                    continue
-                chars = char_positions(own)
-                base = chars[offsets[a : b + 1] - offsets[a]]
-                begin, end, text = words.start[first[take]], words.end[last[take] - 1], text[take]
-                raw = own.tobytes()
-                for i in range(0, len(take), 20_000):
-                    few = slice(i, i + 20_000)
-                    part = batch.slice(a, b - a).take(pa.array(text[few]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[take[few]].view(np.int64)), part.column(0), part.column(1), pa.array(chars[begin[few]] - base[text[few]]), pa.array([raw[x:y] for x, y in zip(begin[few].tolist(), end[few].tolist())], pa.binary())],
-                        ["key", "doc_id", "row", "place", "segment"],
-                    )
+        for x in _chosen(batches, min_words):
+            begin, end, raw = x.words.start[x.first], x.words.end[x.last - 1], x.own.tobytes()
+            for i in range(0, len(begin), 20_000):
+                few = slice(i, i + 20_000)
+                part = x.part.take(pa.array(x.text[few]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x.key[few].view(np.int64)), part.column(0), part.column(1), pa.array(x.chars[begin[few]] - x.base[x.text[few]]), pa.array([raw[a:b] for a, b in zip(begin[few].tolist(), end[few].tolist())], pa.binary())],
+                    ["key", "doc_id", "row", "place", "segment"],
+                )
 
     return texts.select("doc_id", "row", "text", "wanted").mapInArrow(run, "key long, doc_id long, row long, place long, segment binary")
 
 
+def _windows(texts: DataFrame, min_words: int) -> DataFrame:
+    """The windows of the wanted keys' segments: hash, doc_id, row, start and end (characters)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in _chosen(batches, min_words):
+            n = x.last - x.first - min_words + 1
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - x.first, n)
+            of = np.repeat(x.text, n)
+            whole = range_hash(prefix(x.words.hash), at, at + min_words)
+            start, end = x.chars[x.words.start[at]] - x.base[of], x.chars[x.words.end[at + min_words - 1]] - x.base[of]
+            for i in range(0, len(at), 100_000):
+                few = slice(i, i + 100_000)
+                part = x.part.take(pa.array(of[few]))
+                yield pa.RecordBatch.from_arrays([pa.array(whole[few].view(np.int64)), part.column(0), part.column(1), pa.array(start[few]), pa.array(end[few])], ["window", "doc_id", "row", "start", "end"])
+
+    return texts.select("doc_id", "row", "text", "wanted").mapInArrow(run, "window long, doc_id long, row long, start long, end long")
+
+
+def _hot_runs(texts: DataFrame, min_words: int) -> DataFrame:
+    """The repeats of keys that very many texts have.
+
+    Their segments are split by the longest run that a repeat must have, the window
+    itself.  What shares that is equal, so there is nothing left to sort: the first
+    place of each window is a least value, and no task takes all rows of a key.
+    """
+    windows = written(_windows(texts, min_words), "windows")
+    first = windows.groupBy("window").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    again = windows.join(first.hint("merge"), "window").where("row <> first.row or start <> first.start")
+    return again.select("doc_id", "row", F.col("first.doc_id").alias("first_doc_id"), "start", "end")
+
+
 def repeats_of(ids: np.ndarray, rows: np.ndarray, places: np.ndarray, texts: pa.Array, min_words: int) -> list[tuple]:
     """(segment, first segment's index, start, end in characters) of each run of repeated windows.
 
@@ -336,19 +380,26 @@ def _sorted_runs(cut: DataFrame, min_words: int) -> DataFrame:
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, first_doc_id, start and end (characters) of each passage that stands earlier."""
     signs = written(_signed(docs, min_words), "signed")
-    alike = Window.partitionBy("content", "content2").orderBy(F.col("doc_id").asc_nulls_first(), "row")
-    ordered = signs.select("doc_id", "row", "content", "content2", "start", "end").dropDuplicates(["doc_id", "row"]).withColumns({"nth": F.row_number().over(alike), "first_doc_id": F.first("doc_id").over(alike)})
-    ordered = written(ordered.drop("content", "content2"), "ordered")
-    copies = ordered.where("nth > 1").select("doc_id", "row", "first_doc_id", "start", "end")
-    keyed = signs.join(copies.select("row"), "row", "left_anti").select("row", F.explode(F.array_distinct("keys")).alias("key"), F.size("keys").alias("n"), F.size(F.array_distinct("keys")).alias("m"))
+    least = signs.groupBy("content", "content2").agg(F.min(F.struct("doc_id", "row")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    alike = signs.select("doc_id", "row", "content", "content2", "start", "end").join(least.hint("merge"), ["content", "content2"]).where("row <> least.row")
+    copies = written(alike.dropDuplicates(["row"]).select("doc_id", "row", F.col("least.doc_id").alias("first_doc_id"), "start", "end"), "copies")
+    keyed = signs.join(copies.select("row").hint("merge"), "row", "left_anti").select("row", F.explode(F.array_distinct("keys")).alias("key"), F.size("keys").alias("n"), F.size(F.array_distinct("keys")).alias("m"))
     # A key that stands twice in one text can be a repeat inside it.
     inside = F.max((F.col("n") > F.col("m")).cast("int"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("times"), inside.alias("inside")).where("times > 1 or inside = 1").select("key")
-    wanted = keyed.join(shared, "key").groupBy("row").agg(F.collect_set("key").alias("wanted"))
-    texts = docs.select(c("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), c("text").alias("text")).join(wanted, "row")
-    one = texts if _unrepeated(signs) else texts.dropDuplicates(["row"])
-    laid = _cut(one, min_words).repartition(F.col("key")).sortWithinPartitions("key")
+    shared = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("times"), inside.alias("inside")).where("times > 1 or inside = 1").select("key", "times"), "shared")
+    repeated = not _unrepeated(signs)
+
+    def holding(keys: DataFrame) -> DataFrame:
+        """The texts that have some of the keys, and those."""
+        wanted = keyed.join(keys.hint("merge"), "key").groupBy("row").agg(F.collect_set("key").alias("wanted"))
+        texts = docs.select(c("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), c("text").alias("text")).join(wanted.hint("merge"), "row")
+        return texts.dropDuplicates(["row"]) if repeated else texts
+
+    laid = _cut(holding(shared.where(F.col("times") <= HOT_TEXTS).select("key")), min_words).repartition(F.col("key")).sortWithinPartitions("key")
     runs = _sorted_runs(laid, min_words).unionByName(copies)
+    hot = shared.where(F.col("times") > HOT_TEXTS).select("key")
+    if not hot.isEmpty():
+        runs = runs.unionByName(_hot_runs(holding(hot), min_words))
     own = Window.partitionBy("row", "doc_id", "first_doc_id").orderBy("start", "end")
     before = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.coalesce((before < F.col("start")).cast("int"), F.lit(1))
