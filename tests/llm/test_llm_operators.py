@@ -53,7 +53,7 @@ def test_odd_rows_and_empty_tables(spark, name):
 # 1
 
 
-def test_slots_are_a_permutation_and_tokens_come_back(spark, tmp_path):
+def test_slots_are_a_permutation_and_tokens_come_back(spark):
     for size in (1, 2, 3, 100, 1000):
         assert sorted(token_output.feistel(np.arange(size), size, 7).tolist()) == list(range(size))
     rows = [(i, prose(pick.randint(0, 90)), "s") for i in range(60)]
@@ -63,10 +63,7 @@ def test_slots_are_a_permutation_and_tokens_come_back(spark, tmp_path):
     assert all(len(r.tokens) == 128 for r in found)
     expected = Counter(t for _, text, _ in rows if text for t in [*encoder().encoding.encode_ordinary(text), encoder().end_id])
     assert Counter(t for r in found for t in np.frombuffer(r.tokens, "<u2")[: r.n_tokens].tolist()) == expected
-    written = token_output.write_shards(out, str(tmp_path)).collect()
-    assert sum(r.sequences for r in written) == len(found)
-    by_slot = {r.slot: r.tokens for r in found}
-    assert [x.tobytes() for x in token_output.read_slots(str(tmp_path), 5, 10, 64, 8)] == [by_slot[s] for s in range(5, 15)]
+    assert all(r.file == f"shard-{r.shard:08d}.bin" for r in found)
 
 
 # 2
