@@ -3,6 +3,11 @@
 STAGES lists the stages.  Each takes (spark, docs, sf_dir) and returns a
 DataFrame, which is written as Parquet and read again as the next one's docs.
 All but the last return the columns of `documents`.
+
+Documents without text, or with nothing but white space in it, go in the first
+stage; null ids, languages and sources stay as they are.  Repeated rows are exact
+copies, of which one stays.  Columns beyond those of `documents` pass through all
+stages but the last.  Empty tables of documents or items pass through every stage.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from trawl.llm.decontamination import decontaminated
 from trawl.llm.mixing import mixed
 from trawl.llm.near_dedup import without_near_duplicates
 from trawl.llm.quality import quality_rules
-from trawl.llm.token_output import token_output
+from trawl.llm.token_output import SHARD_SEQUENCES, token_output
 from trawl.scratch import written
 
 
@@ -33,13 +38,17 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in training order; sources below their share come in several epochs."""
+    """The documents in training order, file after file; sources below their share come in several epochs."""
     return mixed(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences by slot."""
-    return token_output(docs)
+    """Token sequences by slot, their shards written.
+
+    Slots are permuted inside windows of one shard, so that the mixture holds from shard
+    to shard: it is off by less than a block and a window anywhere.
+    """
+    return token_output(docs, window=SHARD_SEQUENCES)
 
 
 STAGES = [
