@@ -165,6 +165,62 @@ def test_encodings():
     assert encoding.decode("prix 5 €".encode("iso8859-15"), "text/html; charset=iso-8859-15") == "prix 5 €"
 
 
+UNDECLARED = {
+    "shift_jis": "これは日本語の文章です。文字コードを判定します。",
+    "euc_jp": "これは日本語の文章です。文字コードを判定します。",
+    "gb18030": "这是一个中文网页，我们在这里说明不同的编码。他们来到中国的时候",
+    "big5": "這是一個中文網頁，我們在這裡說明不同的編碼。他們來到中國的時候",
+    "cp949": "이것은 한국어 문장입니다. 인코딩을 확인합니다.",
+    "cp1251": "Это русский текст, который написан без объявления кодировки.",
+    "koi8_r": "Это русский текст, который написан без объявления кодировки.",
+    "iso8859_7": "Αυτό είναι ένα ελληνικό κείμενο χωρίς δήλωση",
+    "cp1255": "זהו טקסט בעברית ללא הצהרת קידוד",
+    "cp1256": "هذا نص عربي بدون إعلان الترميز",
+    "cp874": "นี่คือข้อความภาษาไทย",
+    "cp1252": "Déjà vu à l'été, l'hôtel où nous étions çà et là",
+}
+
+
+@pytest.mark.parametrize("name", UNDECLARED)
+def test_undeclared_encodings_are_guessed(name):
+    for before in ("", "<html><body>some plain words before it "):
+        assert encoding.detect((before + UNDECLARED[name]).encode(name)) == name
+
+
+def test_a_declaration_counts_wherever_it_stands():
+    page = b"<html><head><script>" + b"x" * 20_000 + b'</script><meta charset="koi8-r"></head><body>'
+    assert encoding.detect(page + "привет".encode("koi8-r")) == "koi8-r"
+
+
+@pytest.mark.parametrize(
+    "page, title, groups",
+    [
+        ("<html><head><title>T</title><body><p>hello there", "T", ["hello there"]),
+        ("<head><title>T</title>hello <b>you</b>", "T", ["hello you"]),
+        ("<title>T</title><p>one<p>two", "T", ["one", "two"]),
+        ("<html><head><title>T</title><script>no</script><meta name=description content=d></head><body>yes</body>", "T", ["yes"]),
+        ("<html><head> \n <title>T</title> \n </head>yes", "T", ["yes"]),
+    ],
+)
+def test_a_head_ends_where_its_elements_do(page, title, groups):
+    found = html.parse(page, "http://a.org/")
+    assert (found["title"], [g["words"] for g in found["word_groups"]]) == (title, groups)
+
+
+def test_languages_of_plain_sentences():
+    for code, sentence in {
+        "en": "The quick brown fox jumps over the lazy dog near the river bank",
+        "fr": "Le chat dort devant la fenêtre pendant que les enfants jouent dehors",
+        "es": "El gato duerme delante de la ventana mientras los niños juegan afuera",
+        "de": "Die Katze schläft vor dem Fenster, während die Kinder draußen spielen",
+        "it": "Il gatto è seduto sulla finestra e guarda fuori",
+        "pt": "O gato está sentado na janela e olha para fora",
+        "nl": "De kat zit op de mat en kijkt naar buiten",
+    }.items():
+        assert language.detected(sentence) == {code: pytest.approx(1.0)}, sentence
+    assert language.detected("Привет мир") == language.detected("12 34 !!") == language.detected("") == {}
+
+
 def test_languages(spark):
     texts = ["This is obviously an english text", "Ceci est du francais, bien sur.", "Esto es espanol, por seguro", "Deutsch ist die Muttersprache von vielen", "zzz qqq", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(language.weights(F.col("t")).alias("w")).collect()

@@ -31,6 +31,8 @@ HIDDEN_CLASSES = frozenset("visually-hidden visuallyhidden hidden invisible elem
 HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 BORDERS = frozenset("body p pre blockquote ul ol li dl dt dd figure figcaption br img h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: What may stand in a head; anything else begins the body, whose tags a page may leave out.
+HEAD_PARTS = frozenset("html head title meta base link script style noscript template".split())
 METAS = frozenset(("description", "og:description", "og:title"))
 NESTING = 300
 NETLOC = re.compile(r"^[a-zA-Z0-9-]+\.[a-zA-Z0-9.:-]+$")
@@ -77,8 +79,16 @@ class _Page(HTMLParser):
     def _tag(self) -> str:
         return next((x[0] for x in reversed(self.stack) if x[0] in BORDERS), "body")
 
+    def _end_head(self) -> None:
+        for i, x in enumerate(self.stack[:2]):
+            if x[0] == "head":
+                del self.stack[i:]
+                return
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         a = {k: v or "" for k, v in reversed(attrs)}
+        if tag not in HEAD_PARTS:
+            self._end_head()
         if tag in BORDERS:
             self._close_group()
         if tag == "title":
@@ -122,6 +132,8 @@ class _Page(HTMLParser):
         if self.in_title:
             self.titles.append(data)
             return
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self._end_head()
         _, ignored, hidden, frame, bypass = self.stack[-1] if self.stack else ("", False, False, False, False)
         if ignored:
             return
