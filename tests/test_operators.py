@@ -78,6 +78,28 @@ def test_archives(spark, tmp_path):
     assert df.count() == 6
 
 
+def test_damaged_archives_are_told_and_cut_ones_are_read(spark, tmp_path):
+    docs = [{"url": f"http://a.org/{i}", "content": f"<p>text {i}" * 50} for i in range(6)]
+    whole = open(archives.write_archive(docs, f"{tmp_path}/whole.warc.gz"), "rb").read()
+    read = lambda name, data, **o: ((tmp_path / name).write_bytes(data), sources.read(spark, "webarchive", {"path": f"{tmp_path}/{name}", **o}).count())[1]
+    assert read("cut.warc.gz", whole[: len(whole) * 3 // 4]) == 4
+    damaged = whole + b"no member of an archive"
+    with pytest.raises(Exception, match="damaged.warc.gz, behind 6 pages"):
+        read("damaged.warc.gz", damaged)
+    assert read("damaged.warc.gz", damaged, skip_damaged=1) == 6
+    with pytest.raises(Exception, match="begins with"):
+        read("text.warc", b"plain text")
+
+    class Failing:
+        def readline(self):
+            raise OSError("storage is gone")
+
+    with pytest.raises(OSError, match="storage"):
+        list(archives.records(Failing()))
+    assert archives.matching(f"{tmp_path}/*.gz") == [f"{tmp_path}/{x}.warc.gz" for x in ("cut", "damaged", "whole")]
+    assert archives.matching(f"file://{tmp_path}/*.gz") == [f"file://{tmp_path}/{x}.warc.gz" for x in ("cut", "damaged", "whole")]
+
+
 def test_fetched_pages_and_repository_records(spark, tmp_path):
     answers = {"http://a.org/": (200, {"content-type": "text/html"}, b"<p>a"), "http://b.org/": (404, {}, b"")}
     got = sources.read(spark, "url", {"urls": list(answers), "fetch": lambda u: answers[u]}).collect()

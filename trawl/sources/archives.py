@@ -9,8 +9,11 @@ from __future__ import annotations
 import glob
 import gzip
 import io
+import logging
 import os
+import re
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator, Mapping
 from datetime import UTC, datetime
 
@@ -25,6 +28,10 @@ COLUMNS = ("url", "headers", "doc_type", "body", "source_path", "pos")
 KINDS = (pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.binary(), pa.string(), pa.int64())
 
 
+class DamagedArchive(ValueError):
+    """Bytes that are no archive."""
+
+
 def _headers(handle) -> dict[str, str]:
     out: dict[str, str] = {}
     while line := handle.readline().rstrip(b"\r\n"):
@@ -34,21 +41,29 @@ def _headers(handle) -> dict[str, str]:
 
 
 def records(handle) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record; a cut file ends with its last whole record."""
+    """(headers, block) of every record; a cut file ends with its last whole record.
+
+    Damaged data raises DamagedArchive behind the records before it.  Errors of the
+    storage are neither: they go through, so that the task runs again.
+    """
     try:
         while line := handle.readline():
             if not line.strip():
                 continue
             if not line.startswith(b"WARC/"):
-                return
+                raise DamagedArchive(f"a record begins with {line[:20]!r}")
             headers = _headers(handle)
-            n = int(headers.get("content-length", 0))
-            block = handle.read(n)
-            if len(block) < n:
+            size = headers.get("content-length", "0")
+            if not size.isdigit():
+                raise DamagedArchive(f"a record is {size!r} bytes long")
+            block = handle.read(int(size))
+            if len(block) < int(size):
                 return
             yield headers, block
-    except (EOFError, OSError, ValueError):
+    except EOFError:
         return
+    except (gzip.BadGzipFile, zlib.error) as error:
+        raise DamagedArchive(str(error)) from error
 
 
 def unchunked(body: bytes) -> bytes:
@@ -88,8 +103,8 @@ def responses(handle) -> Iterator[tuple[str, dict[str, str], bytes]]:
 
 
 class ArchiveReader(DataSourceReader):
-    def __init__(self, paths: list[str], maxdocs: int | None):
-        self.paths, self.maxdocs = paths, maxdocs
+    def __init__(self, paths: list[str], maxdocs: int | None, skip_damaged: bool):
+        self.paths, self.maxdocs, self.skip_damaged = paths, maxdocs, skip_damaged
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(p) for p in self.paths]
@@ -102,15 +117,23 @@ class ArchiveReader(DataSourceReader):
         rows, size, n = [], 0, 0
         with store.open_input_stream(name, compression=None) as raw:
             handle = io.BufferedReader(raw, 1 << 20) if path.endswith(".warc") else gzip.GzipFile(fileobj=raw)
-            for url, http, body in responses(handle):
+            found = responses(handle)
+            while self.maxdocs is None or n < self.maxdocs:
+                try:
+                    url, http, body = next(found)
+                except StopIteration:
+                    break
+                except DamagedArchive as error:
+                    if not self.skip_damaged:
+                        raise DamagedArchive(f"{path}, behind {n} pages: {error}") from error
+                    logging.getLogger("trawl").warning("%s is damaged behind %d pages: %s", path, n, error)
+                    break
                 rows.append((url, list(http.items()), "html", body, path, n))
                 size += len(body)
                 n += 1
                 if size > 8_000_000:
                     yield self._batch(rows)
                     rows, size = [], 0
-                if self.maxdocs is not None and n >= self.maxdocs:
-                    break
         if rows:
             yield self._batch(rows)
 
@@ -120,7 +143,7 @@ class ArchiveReader(DataSourceReader):
 
 
 class ArchiveSource(DataSource):
-    """format("trawl-warc"); options: paths (one a line), maxdocs (a file, pushed into the reader)."""
+    """format("trawl-warc"); options: paths (one a line), maxdocs (a file, pushed into the reader), skip_damaged (what is whole in a damaged file is read)."""
 
     @classmethod
     def name(cls) -> str:
@@ -131,23 +154,39 @@ class ArchiveSource(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         most = self.options.get("maxdocs")
-        return ArchiveReader(self.options["paths"].split("\n"), None if most is None else int(most))
+        return ArchiveReader(self.options["paths"].split("\n"), None if most is None else int(most), str(self.options.get("skip_damaged")).lower() in ("1", "true"))
 
 
-def web_archive(spark: SparkSession, path: str | None = None, paths: Iterable[str] | None = None, list: str | None = None, maxdocs: int | str | None = None, webarchive: str | None = None) -> DataFrame:
-    """`path` (a glob), `paths`, or `list`, a text file of paths."""
+def web_archive(spark: SparkSession, path: str | None = None, paths: Iterable[str] | None = None, list: str | None = None, maxdocs: int | str | None = None, webarchive: str | None = None, skip_damaged: int | str = 0) -> DataFrame:
+    """`path` (a glob, on any store), `paths`, or `list`, a text file of paths."""
     if list is not None:
         found = [r.value.strip() for r in spark.read.text(list).collect() if r.value.strip()]
     elif paths is not None:
         found = [*paths]
     else:
-        found = sorted(glob.glob(path or webarchive)) or [path or webarchive]
-    return _read(spark, found, maxdocs)
+        found = matching(path or webarchive)
+    return _read(spark, found, maxdocs, skip_damaged)
+
+
+def matching(pattern: str) -> list[str]:
+    """The files of a glob, in order; the pattern itself where it matches none."""
+    if "://" not in pattern:
+        return sorted(glob.glob(pattern)) or [pattern]
+    from pyarrow import fs
+
+    if not any(x in pattern for x in "*?["):
+        return [pattern]
+    head = pattern[: min(pattern.index(x) for x in "*?[" if x in pattern)].rpartition("/")[0]
+    store, root = fs.FileSystem.from_uri(head)
+    prefix = head.removesuffix(root)
+    found = store.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+    wanted = re.compile(re.escape(pattern).replace(r"\*", "[^/]*").replace(r"\?", "[^/]"))
+    return sorted(prefix + x.path for x in found if x.is_file and wanted.fullmatch(prefix + x.path)) or [pattern]
 
 
-def _read(spark: SparkSession, paths: list[str], maxdocs: int | str | None) -> DataFrame:
+def _read(spark: SparkSession, paths: list[str], maxdocs: int | str | None, skip_damaged: int | str = 0) -> DataFrame:
     spark.dataSource.register(ArchiveSource)
-    reader = spark.read.format("trawl-warc").option("paths", "\n".join(paths))
+    reader = spark.read.format("trawl-warc").option("paths", "\n".join(paths)).option("skip_damaged", str(skip_damaged))
     return (reader if maxdocs is None else reader.option("maxdocs", int(maxdocs))).load()
 
 
