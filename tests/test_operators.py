@@ -7,6 +7,7 @@ from trawl import sources
 from trawl.__main__ import main
 from trawl.functions import html
 from trawl.operators import filters, links, lookup, search, signals
+from trawl.operators import pagerank as pr
 from trawl.operators.pagerank import diff_stats, named, pagerank, step, top_diffs, unweighted, with_inlinks
 from trawl.plans import pipeline
 from trawl.plans.plugins import load, parse_spec
@@ -236,3 +237,41 @@ def test_links_dedupe(spark):
     df = spark.createDataFrame([(page, "http://a.org/")], "html string, url string").select(html.parse_text("html", "url").alias("p"))
     row = df.select(links.external(F.col("p")).alias("e"), links.internal(F.col("p")).alias("i")).first()
     assert [x.href for x in row.e] == ["b.net/x"] and [x.path for x in row.i] == ["/y"]
+
+
+def test_steps_move_no_edges(spark):
+    edges = spark.range(3000).selectExpr("id % 60 AS src", "id % 997 AS dst", "0.5D AS weight")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        laid, hubs = pr.laid_out(edges)
+        assert hubs is None
+        found = pr.step(laid, spark.range(997).selectExpr("id", "1.0D AS rank"))
+        plan = found._jdf.queryExecution().executedPlan().toString().replace("\n", " ")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # From the scan of the edges to their join there is a sort at most.
+    scan = plan.index("FileScan parquet")
+    assert "Bucketed: true" in plan and "Exchange" not in plan[plan.rindex("SortMergeJoin", 0, scan) : scan]
+
+
+def test_hubs_are_ranked_alike(spark, monkeypatch):
+    edges = unweighted(spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id % 40 END AS src", "id % 101 AS dst"))
+    vertices = edges.selectExpr("src AS id").union(edges.selectExpr("dst AS id")).distinct()
+    found = []
+    for hub in (10_000_000, 20):
+        monkeypatch.setattr(pr, "HUB_EDGES", hub)
+        for full in (False, True):
+            found.append({r.id: pytest.approx(r.rank) for r in pagerank(vertices, edges, 4, 0.0, all_vertices=full).ranks.collect()})
+    assert pr.laid_out(edges)[1].agg(F.max("parts")).first()[0] >= 3
+    assert found[0] == found[2] and found[1] == found[3] and len(found[0]) == 101
+
+
+def test_ranks_are_printed_whole(spark, tmp_path, capsys):
+    spark.range(80).selectExpr("id", "concat('d', id) AS domain").write.parquet(f"{tmp_path}/g/vertices")
+    unweighted(spark.range(160).selectExpr("id % 80 AS src", "(id * 7 + 1) % 80 AS dst")).write.parquet(f"{tmp_path}/g/edges")
+    for kind in ("delta", "unweighted"):
+        main(["pagerank", "--webgraph", f"{tmp_path}/g", "--maxiter", "2", "--stats", "1", "--top_diffs", "3", "--implementation", kind])
+        assert {line.split("\t")[0] for line in capsys.readouterr().out.splitlines()} >= {f"d{i}" for i in range(80)}
+    main(["pagerank", "--webgraph", f"{tmp_path}/g", "--maxiter", "2", "--output", f"{tmp_path}/out", "--gzip"])
+    assert glob.glob(f"{tmp_path}/out/*.gz") and spark.read.text(f"{tmp_path}/out").count() == 80

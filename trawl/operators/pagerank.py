@@ -2,19 +2,22 @@
 
 Ranks are not normalised: 0.15 + 0.85 * sum(rank * weight).  A source without a
 rank counts 0.15.  Each step reads the ranks of the step before.  The edges are
-laid out by src once, so a step moves the ranks and the partial sums only.
+bucketed by src once, so a step moves the ranks and the partial sums only; a source
+of more than HUB_EDGES edges lies in several parts, each of which gets its rank.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.scratch import delete, new_path, written
+from trawl.scratch import bucketed, delete, new_path, written
 
 BASE, DAMPING = 0.15, 0.85
+HUB_EDGES = 10_000_000
 
 
 @dataclass
@@ -34,20 +37,37 @@ def orphans(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return vertices.join(edges.select(F.col("dst").alias("id")), "id", "left_anti")
 
 
-def contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
-    """id and new rank of every target."""
+def contributions(edges: DataFrame, ranks: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
+    """id and new rank of every target (A1, J2); `hubs` has the parts of the sources that have several."""
     share = F.coalesce(F.col("rank"), F.lit(BASE)) * F.col("weight")
+    own, keys = ranks.select(F.col("id").alias("src"), "rank"), ["src"]
+    if hubs is not None:
+        parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+        own, keys = own.join(hubs, "src", "left").select("src", "rank", F.explode(parts).alias("part")), ["src", "part"]
     return (
-        edges.join(ranks.withColumnRenamed("id", "src"), "src", "left")
+        edges.join(own, keys, "left")
         .groupBy(F.col("dst").alias("id"))
         .agg((F.lit(BASE) + F.lit(DAMPING) * F.sum(share)).alias("new_rank"))
     )
 
 
-def step(edges: DataFrame, ranks: DataFrame, precision: float = 0.0) -> DataFrame:
+def laid_out(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The edges bucketed by src, and the sources that lie in several parts (None when there are none)."""
+    spark = edges.sparkSession
+    own = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = own.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HUB_EDGES)
+    hubs = written(found.select("src", F.ceil(F.col("n") / HUB_EDGES).cast("int").alias("parts")), "hubs")
+    if hubs.isEmpty():
+        return bucketed(own, ["src"], buckets), None
+    part = F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).cast("int")
+    return bucketed(own.join(hubs, "src", "left").withColumn("part", part).drop("parts"), ["src", "part"], buckets), hubs
+
+
+def step(edges: DataFrame, ranks: DataFrame, precision: float = 0.0, hubs: DataFrame | None = None) -> DataFrame:
     """id, rank, new_rank of the ranks; a change of at most `precision` is none."""
     changed = F.abs(F.col("rank") - F.col("new_rank")) > precision
-    return ranks.join(contributions(edges, ranks), "id", "left").withColumn("new_rank", F.when(changed, F.col("new_rank")).otherwise(F.col("rank")))
+    return ranks.join(contributions(edges, ranks, hubs), "id", "left").withColumn("new_rank", F.when(changed, F.col("new_rank")).otherwise(F.col("rank")))
 
 
 def diff_stats(diffs: DataFrame, old: str = "rank", new: str = "new_rank") -> DataFrame:
@@ -74,24 +94,28 @@ def pagerank(
     stats_every: int = 5,
     include_orphans: bool = False,
     all_vertices: bool = False,
+    on_stats: Callable[[int, DataFrame], None] | None = None,
 ) -> Result:
     """Iterate until nothing changes by more than `precision` or, every `stats_every` steps, than `tolerance`.
 
     `all_vertices` starts every vertex at 1 and ranks each in every step (P7).  A step
     reads the ranks before it twice, so each is written to the shared folder, where a
-    lost executor can't take it along, and the table before is deleted.
+    lost executor can't take it along, and the table before is deleted.  `on_stats` is
+    called with the step's number and its id, rank, new_rank whenever differences are looked at.
     """
     spark = vertices.sparkSession
-    laid = written(edges.select("src", "dst", F.col("weight").cast("double").alias("weight")).repartition("src"), "edges")
+    laid, hubs = laid_out(edges)
     start = vertices if all_vertices else with_inlinks(vertices, laid)
     ranks = start.select("id", F.lit(1.0).alias("rank"))
     last_path, max_diff, done = None, None, 0
     for n in range(1, max_iterations + 1):
-        new = full_step(laid, ranks) if all_vertices else step(laid, ranks, precision)
+        new = full_step(laid, ranks, hubs) if all_vertices else step(laid, ranks, precision, hubs)
         path = new_path(spark, "ranks")
         new.write.parquet(path)
         new = spark.read.schema(new.schema).parquet(path)
         if stats_every > 0 and n % stats_every == 0:
+            if on_stats is not None:
+                on_stats(n, new)
             max_diff = diff_stats(new).first()["max_diff"]
             if max_diff is None or max_diff <= tolerance:
                 delete(spark, path)
@@ -105,9 +129,9 @@ def pagerank(
     return Result(ranks, done, max_diff)
 
 
-def full_step(edges: DataFrame, ranks: DataFrame) -> DataFrame:
+def full_step(edges: DataFrame, ranks: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
     """Every vertex ranked anew; one without in-links falls to the base."""
-    return ranks.join(contributions(edges, ranks), "id", "left").withColumn("new_rank", F.coalesce("new_rank", F.lit(BASE)))
+    return ranks.join(contributions(edges, ranks, hubs), "id", "left").withColumn("new_rank", F.coalesce("new_rank", F.lit(BASE)))
 
 
 def unweighted(edges: DataFrame) -> DataFrame:
@@ -117,6 +141,13 @@ def unweighted(edges: DataFrame) -> DataFrame:
     return weighted(edges.select("src", "dst").distinct())
 
 
+def pagerank_unweighted(edges: DataFrame, max_iterations: int = 5, **options) -> Result:
+    """PageRank of a bare edge list: its vertices, each ranked in every step."""
+    weights = unweighted(edges)
+    ends = weights.select(F.col("src").alias("id")).unionByName(weights.select(F.col("dst").alias("id"))).distinct()
+    return pagerank(ends, weights, max_iterations, all_vertices=True, **options)
+
+
 def named(ranks: DataFrame, names: DataFrame, value: Column | None = None) -> DataFrame:
     """domain and rank, greatest first."""
     return ranks.join(names, "id").select("domain", "rank").orderBy(F.col("rank").desc(), "domain")

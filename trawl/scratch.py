@@ -36,6 +36,20 @@ def delete(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """`df` written once in buckets of `keys`: joins and aggregates by them don't move its rows again.
+
+    The table's name is dropped at once; what has been read by it, and the files, stay.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, "buckets")
+    name = f"trawl_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """`df` written once as Parquet and read again: its lineage ends at the files."""
     path = new_path(df.sparkSession, name)
