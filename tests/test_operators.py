@@ -1,4 +1,5 @@
 import glob
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -275,3 +276,47 @@ def test_ranks_are_printed_whole(spark, tmp_path, capsys):
         assert {line.split("\t")[0] for line in capsys.readouterr().out.splitlines()} >= {f"d{i}" for i in range(80)}
     main(["pagerank", "--webgraph", f"{tmp_path}/g", "--maxiter", "2", "--output", f"{tmp_path}/out", "--gzip"])
     assert glob.glob(f"{tmp_path}/out/*.gz") and spark.read.text(f"{tmp_path}/out").count() == 80
+
+
+def parse_stages(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("parse_bytes") + plan.count("parse_text")
+
+
+def test_pages_are_parsed_once(spark, tmp_path):
+    records = datasets.imported(spark, {"alexa_top1m": str((tmp_path / "top.csv").write_text("1,example-a.com\n") and tmp_path / "top.csv")})
+    docs = pipeline.documents(spark, "corpus", {"docs": GRAPH_DOCS}, [], records)
+    assert parse_stages(docs) == 0 and {r.url: round(r.meta.domain.alexa_top1m) for r in docs.where("meta.domain is not null").collect()} == {A: 1, A.replace("1", "2"): 1}
+    assert parse_stages(pipeline.documents(spark, "corpus", {"docs": GRAPH_DOCS, "persist": "0"}, [])) == 1
+
+
+def test_blocks_and_later_batches_reach_the_index(spark, tmp_path):
+    path = str(tmp_path / "i")
+    first = {"url": "http://a.org/1", "content": "<title>First</title> apple words"}
+    second = {"url": "http://a.org/2", "content": "<title>Second</title> pear words"}
+    df = pipeline.run(spark, [("corpus", {"docs": [first], "block": "1"}), ("corpus", {"docs": [second]})], ["filter.All:index_body=1"], index=path)
+    titles = lambda q: sorted(r.title for r in pipeline.search_debug(spark, path, q).collect())
+    assert df.count() == 2 and titles("words") == ["First", "Second"]
+    again = {"url": "http://a.org/1", "content": "<title>Again</title> plum words"}
+    pipeline.add_to_index(spark, [("corpus", {"docs": [again]})], path, plugin_specs=["filter.All:index_body=1"])
+    assert titles("words") == ["Again", "Second"] and titles("apple") == [] and titles("plum") == ["Again"]
+    pipeline.reset(spark, path)
+    assert titles("words") == []
+
+
+def test_overrides_take_the_place_of_records(spark, tmp_path):
+    docs = [
+        {"url": "http://a.org/", "content": "<title>A</title>", "url_metadata_extra": {"url": {"rank": 0.25}}},
+        {"url": "http://b.org/", "content": "<title>B</title>", "url_metadata_extra": {"domain": {"alexa_top1m": 1}, "url": {"ut1_blacklist": ["malware"]}}},
+        {"url": "http://c.org/", "content": "<title>C</title>"},
+    ]
+    (tmp_path / "c.json").write_text(json.dumps(docs))
+    for args in ({"docs": docs}, {"path": f"{tmp_path}/c.json"}):
+        rows = {r.url: r for r in pipeline.documents(spark, "corpus", args, []).collect()}
+        assert rows["http://a.org/"].rank == 0.25 and rows["http://b.org/"].meta.domain.alexa_top1m == 1 and rows["http://b.org/"].meta.url.ut1_blacklist == ["malware"]
+        assert rows["http://c.org/"].meta.url is None and rows["http://b.org/"].rank == pytest.approx(rows["http://c.org/"].rank * 0.001 + 0.001 * 5 / sum(signals.WEIGHTS.values()), rel=1e-3)
+
+
+def test_pages_that_fail_are_told(spark, monkeypatch, tmp_path):
+    df = pipeline.run(spark, [("corpus", {"docs": GRAPH_DOCS[:1]})], [f"dump.DocumentMetadata:output={tmp_path}/d"])
+    assert df.columns[:4] == ["id", "url", "rank", "error"] and df.first().error is None

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,3 +64,21 @@ def looked_up(docs: DataFrame, records: DataFrame, url: str = "url", key: str =
     packed = found.select("_doc", F.struct(*VARIANTS).alias("meta"))
     empty = F.struct(*[F.lit(None).cast(RECORD).alias(name) for name in VARIANTS])
     return docs.join(packed, docs[key] == packed["_doc"], "left").drop("_doc").withColumn("meta", F.coalesce("meta", empty))
+
+
+def _begins(text: str) -> Callable[[Column], Column]:
+    return lambda key: key.startswith(text)
+
+
+def overridden(meta: Column, overrides: Column) -> Column:
+    """`meta` with the values of a map of "variant.field" in place of its own."""
+    variants = []
+    for name in VARIANTS:
+        fields = []
+        for f in RECORD:
+            own = F.try_element_at(overrides, F.lit(f"{name}.{f.name}"))
+            value = F.from_json(own, f.dataType) if isinstance(f.dataType, T.ArrayType) else own.cast(f.dataType)
+            fields.append(F.coalesce(value, meta[name][f.name]).alias(f.name))
+        touched = F.exists(F.coalesce(F.map_keys(overrides), F.array().cast("array<string>")), _begins(f"{name}."))
+        variants.append(F.when(touched, F.struct(*fields)).otherwise(meta[name]).alias(name))
+    return F.struct(*variants)

@@ -13,10 +13,12 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.scratch import exists, move, written
+
 #: field -> (boost, k1, b)
 FIELDS = {"title": (3.0, 1.0, 0.75), "body": (1.0, 1.2, 0.75), "url_words": (2.0, 1.0, 0.75), "domain_words": (4.0, 1.0, 0.75), "paid_domain_words": (8.0, 1.0, 0.75)}
 TIE, OTHER_LANGUAGE, SIZE = 0.5, 0.002, 50
-BUCKETS = 64
+BUCKETS, BUCKET_POSTINGS, SPREAD = 64, 5_000_000, 16
 
 
 def query_terms(query: str) -> list[str]:
@@ -64,20 +66,39 @@ def field_stats(docs_postings: DataFrame) -> DataFrame:
     return lengths.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("length").alias("mean_length"))
 
 
-def write_index(docs: DataFrame, path: str) -> None:
-    """Postings by term bucket, statistics and documents as three tables."""
-    found = postings(docs).withColumn("bucket", F.crc32("term") % BUCKETS)
-    found.repartition("bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+def write_index(docs: DataFrame, path: str, add: bool = False) -> None:
+    """Postings by term bucket, statistics and documents as three tables, put in place when all are whole.
+
+    With `add`, the documents of the index stay but for those of the same id.  The number
+    of buckets, and of the files that a bucket's postings are spread over, follow the
+    number of postings, so that a frequent term is the work of many tasks.
+    """
     spark = docs.sparkSession
-    field_stats(spark.read.parquet(f"{path}/postings")).write.mode("overwrite").parquet(f"{path}/stats")
-    docs.drop("body").write.mode("overwrite").parquet(f"{path}/docs")
+    found, stored = postings(docs), docs.drop("body")
+    if add and exists(spark, f"{path}/docs"):
+        own = stored.select("id")
+        found = found.unionByName(spark.read.parquet(f"{path}/postings").drop("bucket").join(own, "id", "left_anti"))
+        stored = stored.unionByName(spark.read.parquet(f"{path}/docs").join(own, "id", "left_anti"), allowMissingColumns=True)
+    found = written(found, "postings")
+    n = found.count()
+    buckets = max(BUCKETS, -(-n // BUCKET_POSTINGS))
+    spread = F.pmod(F.xxhash64("id"), F.lit(1 if n < BUCKETS * BUCKET_POSTINGS else SPREAD))
+    laid = found.withColumn("bucket", (F.crc32("term") % buckets).cast("int")).repartition("bucket", spread).sortWithinPartitions("bucket", "term")
+    laid.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/.next/postings")
+    stats = field_stats(found).withColumn("buckets", F.lit(buckets))
+    stats.write.mode("overwrite").parquet(f"{path}/.next/stats")
+    stored.write.mode("overwrite").parquet(f"{path}/.next/docs")
+    for name in ("postings", "stats", "docs"):
+        move(spark, f"{path}/.next/{name}", f"{path}/{name}")
 
 
 def search_index(spark: SparkSession, path: str, query: str, **options) -> DataFrame:
     terms = query_terms(site_of(query)[0])
-    buckets = sorted({zlib.crc32(t.encode()) % BUCKETS for t in terms}) or [-1]
-    found = spark.read.parquet(f"{path}/postings").where(F.col("bucket").isin(buckets))
-    return search(spark.read.parquet(f"{path}/docs"), found, query, stats=spark.read.parquet(f"{path}/stats"), **options)
+    stats = spark.read.parquet(f"{path}/stats")
+    first = stats.agg(F.max("buckets")).first()[0] or BUCKETS
+    buckets = sorted({zlib.crc32(t.encode()) % first for t in terms}) or [-1]
+    found = spark.read.schema("id long, field string, term string, length int, tf long, bucket int").parquet(f"{path}/postings").where(F.col("bucket").isin(buckets))
+    return search(spark.read.parquet(f"{path}/docs"), found, query, stats=stats, **options)
 
 
 def term_scores(found: DataFrame, stats: DataFrame) -> DataFrame:

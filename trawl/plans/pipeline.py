@@ -16,8 +16,9 @@ from trawl.functions import html, ids, language, text, urls
 from trawl.operators import filters, lookup, search, signals
 from trawl.plans.plugins import Plugin, act, load, parse_spec
 from trawl.plans.sinks import save
+from trawl.scratch import written
 
-BASE = ("id", "url", "rank")
+BASE = ("id", "url", "rank", "error")
 
 
 def parsed(pages: DataFrame) -> DataFrame:
@@ -36,11 +37,17 @@ def parsed_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataF
 
 def enriched(docs: DataFrame, records: DataFrame | None = None) -> DataFrame:
     """id, langs, words, title, summary, inferred words, meta and rank of parsed documents."""
+    return ranked(described(docs), records)
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """What comes from the page alone: id, langs, words, title, summary and inferred words."""
     url, source, p = F.col("url"), F.col("source_url"), F.col("parsed")
     body = F.array_join(F.transform(p["word_groups"], lambda g: g["words"]), " ")
     df = docs.withColumns(
         {
             "id": ids.url_id(url),
+            "error": p["error"],
             "body": body,
             "langs": language.weights(F.concat_ws(" ", p["title"], body)),
             "domain": urls.normalized_domain(url),
@@ -54,13 +61,21 @@ def enriched(docs: DataFrame, records: DataFrame | None = None) -> DataFrame:
     seen = F.concat_ws(" ", "title", "summary")
     inferred = {f"{k}_inferred": text.infer_subwords(F.col(k), seen) for k in ("url_words", "domain_words", "paid_domain_words")}
     df = df.withColumns(inferred)
-    df = df.withColumns({k: F.when(F.col(k) != F.col(k.removesuffix("_inferred")), F.col(k)) for k in inferred})
+    return df.withColumns({k: F.when(F.col(k) != F.col(k.removesuffix("_inferred")), F.col(k)) for k in inferred})
+
+
+def ranked(df: DataFrame, records: DataFrame | None = None) -> DataFrame:
+    """The records of the URL's variants and the rank; `override` has values that take the place of a record's or the rank."""
+    url = F.col("url")
     if records is None:
         df = df.withColumn("meta", F.struct(*[F.lit(None).cast(lookup.RECORD).alias(k) for k in lookup.VARIANTS]))
     else:
         df = lookup.looked_up(df, records)
-    override = F.col("rank_override") if "rank_override" in df.columns else None
-    return df.withColumn("rank", signals.global_rank(url, F.col("meta"), override).cast("float"))
+    rank = None
+    if "overrides" in df.columns:
+        df = df.withColumn("meta", lookup.overridden(F.col("meta"), F.col("overrides")))
+        rank = F.try_element_at("overrides", F.lit("url.rank")).cast("double")
+    return df.withColumn("rank", signals.global_rank(url, F.col("meta"), rank).cast("float"))
 
 
 def index_docs(df: DataFrame) -> DataFrame:
@@ -76,14 +91,14 @@ def index_text(df: DataFrame) -> DataFrame:
 
 
 def metadata(df: DataFrame, plugins: Sequence[Plugin]) -> DataFrame:
-    """id, url, rank and the plugins' columns."""
+    """id, url, rank, what went wrong in parsing, and the plugins' columns."""
     for plugin in plugins:
         df = plugin.columns(df)
     return df.select(*BASE, *dict.fromkeys(c for p in plugins for c in p.added))
 
 
 def documents(spark: SparkSession, name: str, args: dict, plugins: Sequence[Plugin], records: DataFrame | None = None) -> DataFrame:
-    """The enriched documents of one source."""
+    """The enriched documents of one source.  Parsed pages are written once; what follows reads them (with `persist=0`, nothing is)."""
     options = {k: v for k, v in args.items() if k not in ("block", "persist")}
     pages = sources.read(spark, name, options)
     for plugin in plugins:
@@ -93,35 +108,52 @@ def documents(spark: SparkSession, name: str, args: dict, plugins: Sequence[Plug
         pages = pages.withColumn("index_level", F.col("forced_level"))
     else:
         pages = filters.filtered(pages, chain)
-    return enriched(parsed(pages), records)
+    docs = described(parsed(pages))
+    if str(args.get("persist", "1")) == "1":
+        docs = written(docs, "parsed")
+    return ranked(docs, records)
 
 
 def run(spark: SparkSession, source_specs: Sequence[str | tuple[str, dict]], plugin_specs: Sequence[str | Plugin] = (), records: DataFrame | None = None, index: str | None = None) -> DataFrame:
     """Read the sources, index below `index`, run the plugins' actions; the metadata table.
 
-    Later sources win over earlier ones in the index (S11).
+    Later sources win over earlier ones in the index (S11).  A source with `block=1` is
+    read, indexed and done with before those behind it begin.
     """
     plugins = [load(p) for p in plugin_specs]
-    tables, texts = [], []
-    for spec in source_specs:
-        name, args = parse_spec(spec) if isinstance(spec, str) else spec
+    tables, texts, indexed = [], [], False
+    specs = [parse_spec(spec) if isinstance(spec, str) else spec for spec in source_specs]
+    for name, args in specs:
         if name in sources.PARSED:
             tables.append(sources.read(spark, name, args))
             continue
         docs = documents(spark, name, args, plugins, records)
-        if str(args.get("persist")) == "1":
-            docs = docs.persist()
+        if records is not None and str(args.get("persist", "1")) == "1":
+            docs = written(docs, "documents")
         texts.append(index_text(docs))
         tables.append(metadata(docs, plugins))
+        if str(args.get("block")) == "1":
+            tables[-1] = written(tables[-1], "block")
+            if index is not None:
+                search.write_index(sources.later_wins(texts), index, add=indexed)
+                texts, indexed = [], True
     df = tables[0]
     for other in tables[1:]:
         df = df.unionByName(other, allowMissingColumns=True)
     if index is not None and texts:
-        search.write_index(sources.later_wins(texts), index)
+        search.write_index(sources.later_wins(texts), index, add=indexed)
     act(plugins, df)
     return df
 
 
+def add_to_index(spark: SparkSession, source_specs: Sequence[str | tuple[str, dict]], index: str, records: DataFrame | None = None, plugin_specs: Sequence[str | Plugin] = ()) -> None:
+    """A later batch: its documents take the place of those of the same id (K7)."""
+    plugins = [load(p) for p in plugin_specs]
+    specs = [parse_spec(spec) if isinstance(spec, str) else spec for spec in source_specs]
+    texts = [index_text(documents(spark, name, args, plugins, records)) for name, args in specs]
+    search.write_index(sources.later_wins(texts), index, add=True)
+
+
 def observed(df: DataFrame, name: str = "documents") -> tuple[DataFrame, Observation]:
     """`df` and an observation that counts its rows as they pass."""
     seen = Observation(name)

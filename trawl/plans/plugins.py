@@ -48,9 +48,13 @@ class Plugin:
         """True when it ran the pipeline, ABORT when no later action may."""
         return False
 
-    def save(self, df: DataFrame, format: str, tail: str = "", **defaults) -> None:
-        options = {k: self.args[k] for k in ("coalesce", "gzip") if k in self.args}
-        save(df, self.args["output"] + tail, format, **({"coalesce": 1} | defaults | options))
+    def save(self, df: DataFrame, format: str, ordered: bool = False) -> None:
+        """In `coalesce` files, 1 by default.  The work before is done by all tasks; only an ordered result is gathered as it is."""
+        options = {k: self.args[k] for k in ("gzip",) if k in self.args}
+        parts = int(self.args.get("coalesce", 1))
+        if parts and not ordered:
+            df = df.repartition(parts)
+        save(df, self.args["output"], format, parts if ordered else 0, **options)
 
 
 class Filter(Plugin):
@@ -98,7 +102,7 @@ class Backlinks(ExternalLinks):
 
     def action(self, df: DataFrame) -> bool:
         found = links.backlinks(df, self.args["domain"], int(self.args["limit"]) if "limit" in self.args else None)
-        self.save(found.selectExpr("concat_ws(' ', url_to, cast(links AS string), array_join(sources, ',')) AS r"), "text")
+        self.save(found.selectExpr("concat_ws(' ', url_to, cast(links AS string), array_join(sources, ',')) AS r"), "text", ordered=True)
         return True
 
 
@@ -120,8 +124,8 @@ class DomainToDomainParquet(ExternalLinks):
 
     def action(self, df: DataFrame) -> bool:
         for name, made in (("vertices", links.vertices), ("edges", links.edges)):
-            parts = self.args.get(f"coalesce_{name}", self.args.get("coalesce", 1))
-            save(made(df), f"{self.args['output']}/{name}", "parquet", parts, mode="overwrite")
+            parts, out = int(self.args.get(f"coalesce_{name}", self.args.get("coalesce", 1))), made(df)
+            save(out.repartition(parts) if parts else out, f"{self.args['output']}/{name}", "parquet", mode="overwrite")
         return True
 
 

@@ -36,6 +36,19 @@ def delete(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another."""
+    delete(spark, target)
+    jpath, to = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (source, target))
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).rename(jpath, to):
+        raise OSError(f"{source} can't be moved to {target}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     """`df` written once in buckets of `keys`: joins and aggregates by them don't move its rows again.
 

@@ -50,10 +50,15 @@ def per_source(df: DataFrame, maxdocs: int | str | None) -> DataFrame:
 
 
 def later_wins(sources: list[DataFrame], key: str = "id") -> DataFrame:
-    """The union of sources; of rows with one key the last source's stays."""
+    """The union of sources; of rows with one key the last source's stays.
+
+    Of a source's own rows with one key, the one of the greatest hash stays, so that
+    the choice doesn't hang on their order.
+    """
     rows = None
     for n, df in enumerate(sources):
         own = df.withColumn("_n", F.lit(n))
         rows = own if rows is None else rows.unionByName(own, allowMissingColumns=True)
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.col("_n").desc()))
-    return rows.withColumn("_nth", nth).where("_nth = 1").drop("_nth", "_n")
+    hashed = [F.col(name) for name, kind in rows.dtypes if "map<" not in kind]
+    last = F.max_by(F.struct(*[F.col(name) for name in rows.columns if name != "_n"]), F.struct("_n", F.xxhash64(*hashed)))
+    return rows.groupBy(F.col(key).alias("_key")).agg(last.alias("_row")).select("_row.*")

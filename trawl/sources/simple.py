@@ -14,19 +14,24 @@ from trawl.sources import PAGE, per_source
 DOCS = "url string, content string, headers map<string,string>, rank double, index_level int"
 
 
+def _overrides(extra: dict | None) -> dict[str, str] | None:
+    return {f"{v}.{k}": x if isinstance(x, str) else json.dumps(x) for v, own in extra.items() for k, x in own.items()} if extra else None
+
+
 def corpus(spark: SparkSession, docs: list[dict] | str | None = None, path: str | None = None, maxdocs: int | str | None = None, corpus: str | None = None, persist=None, block=None) -> DataFrame:
     """Documents with url, content, optional headers and metadata overrides.
 
     `docs` is a list (each document a source of its own), `path` a JSON array file.
     """
     if docs is None:
-        read = spark.read.schema("url string, content string, headers map<string,string>, url_metadata_extra struct<url:struct<rank:double>>").option("multiLine", True).json(path or corpus)
-        rows = read.select("url", "content", "headers", F.col("url_metadata_extra.url.rank").alias("rank_override"), F.lit(path or corpus).alias("source_path"), F.monotonically_increasing_id().alias("pos"))
+        read = spark.read.schema("url string, content string, headers map<string,string>, url_metadata_extra map<string,map<string,string>>").option("multiLine", True).json(path or corpus)
+        pairs = F.flatten(F.transform(F.map_entries("url_metadata_extra"), lambda v: F.transform(F.map_entries(v["value"]), lambda f: F.struct(F.concat(v["key"], F.lit("."), f["key"]).alias("key"), f["value"]))))
+        rows = read.select("url", "content", "headers", F.map_from_entries(pairs).alias("overrides"), F.lit(path or corpus).alias("source_path"), F.monotonically_increasing_id().alias("pos"))
     else:
         docs = json.loads(docs) if isinstance(docs, str) else docs
-        data = [(d["url"], d["content"], d.get("headers"), ((d.get("url_metadata_extra") or {}).get("url") or {}).get("rank"), str(n), 0) for n, d in enumerate(docs)]
-        rows = spark.createDataFrame(data, "url string, content string, headers map<string,string>, rank_override double, source_path string, pos long")
-    whole = rows.select("url", "headers", F.lit("html").alias("doc_type"), F.encode("content", "UTF-8").alias("body"), "source_path", "pos", "rank_override")
+        data = [(d["url"], d["content"], d.get("headers"), _overrides(d.get("url_metadata_extra")), str(n), 0) for n, d in enumerate(docs)]
+        rows = spark.createDataFrame(data, "url string, content string, headers map<string,string>, overrides map<string,string>, source_path string, pos long")
+    whole = rows.select("url", "headers", F.lit("html").alias("doc_type"), F.encode("content", "UTF-8").alias("body"), "source_path", "pos", "overrides")
     return per_source(whole, maxdocs)
 
 
