@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from trawl.functions import html, ids, text, urls
 
@@ -76,9 +75,10 @@ def edges(df: DataFrame) -> DataFrame:
     return weighted(linked)
 
 
-def weighted(linked: DataFrame) -> DataFrame:
-    """One exchange, a window in place of an aggregate and its self-join."""
-    return linked.withColumn("weight", (F.lit(1.0) / F.count(F.lit(1)).over(Window.partitionBy("src"))).cast("float"))
+def weighted(linked: DataFrame, kind: str = "float") -> DataFrame:
+    """Degrees are counted before they are shuffled, and joined; a hub's edges are split where they are many."""
+    degrees = linked.groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
+    return linked.join(degrees, "src").withColumn("weight", (F.lit(1.0) / F.col("_n")).cast(kind)).select(*linked.columns, "weight")
 
 
 def vertex_lines(v: DataFrame) -> DataFrame:

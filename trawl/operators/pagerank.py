@@ -138,7 +138,7 @@ def unweighted(edges: DataFrame) -> DataFrame:
     """Weights of an edge list that has none: 1 / out-degree."""
     from trawl.operators.links import weighted
 
-    return weighted(edges.select("src", "dst").distinct())
+    return weighted(edges.select("src", "dst").distinct(), "double")
 
 
 def pagerank_unweighted(edges: DataFrame, max_iterations: int = 5, **options) -> Result:

@@ -1,8 +1,8 @@
 """Registered queries of the page and graph operators over the driver's tables, with their SQL.
 
-The graph is derived from all rows of `lineitem`; _GRAPH, its SQL, still has the
-earlier cut graph, so the SQL of the graph queries doesn't match.  Popularity ranks, categories and site names
-that the tables lack are derived from ids by the same rule on both sides.
+The graph is derived from all rows of `lineitem`.  Popularity ranks, categories and
+site names that the tables lack are derived from ids by the same rule on both sides.
+Queries of parsed pages, links and whole runs are in `page_queries`.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.functions import html, text, urls
+from trawl.functions import text, urls
 from trawl.operators import filters, links, lookup, search, signals
 from trawl.operators import pagerank as pr
 from trawl.sources import later_wins, per_source
@@ -20,11 +20,11 @@ from trawl.sources import later_wins, per_source
 WORDS = ["the", "und", "les", "license"]
 SEARCH = "the and blees"
 INLINE = ["http://example.com/", "http://www.example.com:80/?x=1#b", "https://example.org:443", "http://sub.test.co.uk/a/b.html?q=1"]
-#: Sites that search queries see are the documents' sources.
 #: Ranks are finite decimals that often end in 5: this keeps rounding from hanging on the order of a sum.
 OFF_TIES = 3.17e-11
+#: A change of a rank that is less is rounding.
+PRECISION = 1e-9
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-HREF = r'<a href="([^"]*)"'
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,22 +42,13 @@ def _graph(spark, sf_dir) -> DataFrame:
 
 
 def _edges(spark, sf_dir) -> DataFrame:
-    return _graph(spark, sf_dir).withColumn("weight", F.lit(1.0) / F.count(F.lit(1)).over(pr_window()))
-
-
-def pr_window():
-    from pyspark.sql.window import Window
-
-    return Window.partitionBy("src")
+    return links.weighted(_graph(spark, sf_dir), "double")
 
 
 def _vertices(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
 
 
-# Whether each is the Spark side of a name in ORACLES, under the same name.
-
-
 def url_host_counts(spark, d):
     return _t(spark, d, "pages").groupBy(urls.normalized_domain(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -101,25 +92,12 @@ def doc_word_sets(spark, d):
 
 
 def _titled(spark, d) -> DataFrame:
-    return _t(spark, d, "pages").select("page_id", "url", F.regexp_extract("html", TITLE, 1).alias("raw"), F.regexp_extract_all("html", F.lit(HREF), 1).alias("hrefs"))
+    return _t(spark, d, "pages").select("page_id", "url", F.regexp_extract("html", TITLE, 1).alias("raw"))
 
 
 def title_format(spark, d):
-    return _titled(spark, d).select("page_id", text.truncated(F.trim(F.regexp_replace("raw", r"\s+", " ")), text.TITLE_CHARS).alias("title"))
-
-
-def internal_links(spark, d):
-    return _titled(spark, d).select("page_id", F.explode(F.array_distinct(F.transform("hrefs", lambda h: urls.without_fragment(h)))).alias("path"))
-
-
-def link_counts_topk(spark, d):
-    found = internal_links(spark, d).groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("page_id")), ",").alias("pages"))
-    return found.orderBy(F.col("n").desc(), "path").limit(20)
-
-
-def page_titles(spark, d):
-    """The Arrow parser over all pages."""
-    return _t(spark, d, "pages").select("page_id", html.parse_text("html", "url").alias("p")).select("page_id", F.size("p.internal_hyperlinks").cast("long").alias("n_internal"), F.size("p.external_hyperlinks").cast("long").alias("n_external"))
+    none = F.create_map().cast("map<string,string>")
+    return _titled(spark, d).select("page_id", text.title(F.col("raw"), none, F.col("url")).alias("title"))
 
 
 def host_graph_edges(spark, d):
@@ -167,7 +145,7 @@ def pagerank_with_orphans(spark, d):
 
 def _first_step(spark, d) -> DataFrame:
     e = _edges(spark, d)
-    return pr.step(e, pr.with_inlinks(_vertices(e), e).select("id", F.lit(1.0).alias("rank")))
+    return pr.step(e, pr.with_inlinks(_vertices(e), e).select("id", F.lit(1.0).alias("rank")), PRECISION)
 
 
 def pagerank_diff_stats(spark, d):
@@ -183,9 +161,17 @@ def pagerank_topdiffs(spark, d):
 
 
 def pagerank_unweighted(spark, d):
-    e = _graph(spark, d)
-    w = e.withColumn("weight", F.lit(1.0) / F.count(F.lit(1)).over(pr_window()))
-    return _rounded(pr.contributions(w, _vertices(e).select("id", F.lit(1.0).alias("rank"))).withColumnRenamed("new_rank", "rank"))
+    return _rounded(pr.pagerank_unweighted(_graph(spark, d), 3, precision=0.0, stats_every=0).ranks)
+
+
+def pagerank_by_name(spark, d):
+    """All ranks with their domains, greatest first."""
+    names = _vertices(_graph(spark, d)).select("id", F.concat(F.lit("d"), F.col("id").cast("string")).alias("domain"))
+    return pr.named(_rounded(_ranked(spark, d).ranks), names)
+
+
+def graph_vertex_lines(spark, d):
+    return links.vertex_lines(_vertices(_graph(spark, d)).select("id", F.concat(F.lit("d"), F.col("id").cast("string")).alias("domain")))
 
 
 def graph_text_export(spark, d):
@@ -198,16 +184,19 @@ def popularity_signal(spark, d):
 
 
 def _records(spark, d) -> DataFrame:
-    """Records of the pages' hosts and pages, from their ids."""
-    pages = _t(spark, d, "pages")
-    hosts = pages.groupBy(urls.normalized_domain(F.col("url")).alias("key")).agg((F.min("page_id") + 1).cast("int").alias("alexa_top1m"))
-    listed = pages.where("page_id % 3 = 0").groupBy(urls.normalized(F.col("url")).alias("key")).agg(F.max(F.concat(F.lit("t"), F.col("page_id").cast("string"))).alias("dmoz_title"), F.max((F.col("page_id") % 50).cast("int")).alias("wikidata_sitelinks"))
-    flagged = pages.where("page_id % 5 = 0").select(urls.normalized_domain(F.col("url")).alias("key"), F.when(F.col("page_id") % 2 == 0, "adult").otherwise("shopping").alias("c")).groupBy("key").agg(F.collect_list("c").alias("ut1_blacklist"))
-    return lookup.merged(hosts, listed, flagged)
+    """Records of the pages' hosts, paid domains and pages, each page giving one to each dataset; what a dataset lacks is null."""
+    pages, url, n = _t(spark, d, "pages"), F.col("url"), F.col("page_id")
+    first = F.min("page_id")
+    hosts = pages.groupBy(urls.normalized_domain(url).alias("key")).agg(F.when(first % 2 == 0, first + 1).cast("int").alias("alexa_top1m"), ((first % 7) * 1e6).cast("float").alias("webdatacommons_hc"), ((first % 11) * 1e3).cast("float").alias("host_pagerank"))
+    paid = pages.groupBy(urls.pld(url).alias("key")).agg((first + 100).cast("int").alias("alexa_top1m"))
+    listed = pages.groupBy(urls.normalized(url).alias("key")).agg(F.max(F.when(n % 3 == 0, F.concat(F.lit("t"), n.cast("string")))).alias("dmoz_title"), F.max((n % 50).cast("int")).alias("wikidata_sitelinks"))
+    flags = F.when(n % 5 == 0, "adult").when(n % 5 == 1, "malware").when(n % 5 == 2, "shopping")
+    flagged = pages.groupBy(F.when(n % 2 == 0, urls.normalized_domain(url)).otherwise(urls.normalized(url)).alias("key")).agg(F.collect_list(flags).alias("ut1_blacklist"))
+    return lookup.merged(hosts, paid, listed, flagged)
 
 
 def metadata_merge(spark, d):
-    return _records(spark, d).select("key", F.col("alexa_top1m").cast("long").alias("alexa"), "dmoz_title", F.col("wikidata_sitelinks").cast("long").alias("sitelinks"), F.array_join("ut1_blacklist", ",").alias("categories"))
+    return _records(spark, d).select("key", F.col("alexa_top1m").cast("long").alias("alexa"), "dmoz_title", F.col("webdatacommons_hc").cast("double").alias("hc"), F.col("host_pagerank").cast("double").alias("host_rank"), F.col("wikidata_sitelinks").cast("long").alias("sitelinks"), F.array_join("ut1_blacklist", ",").alias("categories"))
 
 
 def _looked(spark, d) -> DataFrame:
@@ -216,14 +205,63 @@ def _looked(spark, d) -> DataFrame:
 
 def metadata_lookup(spark, d):
     m = F.col("meta")
-    return _looked(spark, d).select("id", m["domain"]["alexa_top1m"].cast("long").alias("domain_rank"), m["url"]["dmoz_title"].alias("url_title"), m["url_without_query"]["dmoz_title"].alias("bare_title"), F.array_join(F.array_sort(signals.categories(m)), ",").alias("categories"))
+    return _looked(spark, d).select("id", m["domain"]["alexa_top1m"].cast("long").alias("domain_rank"), m["pld"]["alexa_top1m"].cast("long").alias("paid_rank"), m["url"]["dmoz_title"].alias("url_title"), m["url_without_query"]["dmoz_title"].alias("bare_title"), F.array_join(F.array_sort(signals.categories(m)), ",").alias("categories"))
 
 
 def weighted_rank(spark, d):
     m, u = F.col("meta"), F.col("url")
-    values = {k: v for k, v in signals.all_signals(u, m).items() if k not in ("url_subdomain",)}
-    values["alexa_top1m"] = signals.popularity(m["domain"]["alexa_top1m"])
-    return _looked(spark, d).select("id", F.round(signals.weighted_rank(values), 6).alias("rank"), signals.blacklist_factor(signals.categories(m)).alias("factor"))
+    return _looked(spark, d).select("id", F.round(signals.weighted_rank(signals.all_signals(u, m)), 6).alias("rank"), signals.blacklist_factor(signals.categories(m)).alias("factor"))
+
+
+def signal_breakdown(spark, d):
+    df = _looked(spark, d).select("id", signals.breakdown(F.col("url"), F.col("meta")).alias("s"))
+    return df.select("id", *[F.round(F.col(f"s.{k}"), 6).alias(k) for k in signals.WEIGHTS])
+
+
+def global_rank(spark, d):
+    """The rank with its factor; pages of every fourth id have their own rank."""
+    given = F.when(F.col("id") % 4 == 0, F.lit(0.5))
+    return _looked(spark, d).select("id", F.round(signals.global_rank(F.col("url"), F.col("meta"), given), 6).alias("rank"))
+
+
+def record_overrides(spark, d):
+    """Every page sets its domain's popularity to its own id plus one."""
+    own = F.create_map(F.lit("domain.alexa_top1m"), (F.col("id") + 1).cast("string"))
+    meta = lookup.overridden(F.col("meta"), own)
+    return _looked(spark, d).select("id", meta["domain"]["alexa_top1m"].cast("long").alias("domain_rank"), meta["domain"]["host_pagerank"].cast("double").alias("host_rank"), meta["pld"]["alexa_top1m"].cast("long").alias("paid_rank"))
+
+
+def url_domains(spark, d):
+    u = F.col("url")
+    return _urls(spark, d).select("url", urls.suffix(u).alias("suffix"), urls.domain_without_suffix(urls.domain(u)).alias("label"), urls.subdomain(u).alias("subdomain"), urls.pld(u).alias("pld"), urls.normalized_subdomain(u).alias("bare_subdomain"))
+
+
+def url_quoted(spark, d):
+    """Addresses with a word of the page in path and query."""
+    word = F.regexp_extract("html", r"<p><b>([^ <&]+)", 1)
+    made = _t(spark, d, "pages").select("page_id", F.concat(F.regexp_extract("url", r"^(\w+://[^/?#]*)", 1), F.lit("/a/"), word, F.lit("?q="), word, F.lit("&x=1")).alias("made"))
+    return made.select("page_id", urls.quoted(F.col("made")).alias("quoted"))
+
+
+def url_schemes_and_names(spark, d):
+    u = F.col("url")
+    return _urls(spark, d).select("url", urls.without_scheme(u).alias("no_scheme"), urls.without_fragment(u).alias("no_fragment"), F.array_join(urls.filename_words(u), " ").alias("name_words"), F.array_join(urls.domain_words(u, paid=False), " ").alias("subdomain_words"), F.array_join(urls.paid_words(u), " ").alias("paid_words"))
+
+
+def split_words(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.size(text.split_words(F.col("text"))).cast("long").alias("n_words"))
+
+
+def title_and_text_words(spark, d):
+    groups = F.array(F.struct(F.col("text").alias("words"), F.lit("p").alias("tag")))
+    return _t(spark, d, "documents").select("doc_id", F.size(text.all_words(F.col("source"), groups)).cast("long").alias("n_words"))
+
+
+def grep_lines(spark, d):
+    """The text output of the word search over titles and texts."""
+    groups = F.array(F.struct(F.col("text").alias("words"), F.lit("p").alias("tag")))
+    docs = _t(spark, d, "documents").withColumn("url", F.concat(F.lit("http://doc/"), F.col("doc_id").cast("string")))
+    return links.grep_lines(links.grep(docs, F.col("source"), groups, [*WORDS, "src1"]))
 
 
 def union_sources_later_wins(spark, d):
@@ -278,7 +316,8 @@ def _norm(tail: str) -> str:
 
 _NORMALIZED, _BARE = _norm(f"CASE WHEN {_p(4)} = '' THEN '' ELSE '?' || {_p(4)} END"), _norm("''")
 _ALL_URLS = f"(SELECT url FROM pages UNION ALL SELECT * FROM (VALUES {', '.join(f"('{u}')" for u in INLINE)}) v(url))"
-_GRAPH = "(SELECT DISTINCT l_partkey % 1000 AS src, (l_suppkey * l_linenumber) % 1000 AS dst FROM lineitem WHERE l_quantity >= 49 AND l_partkey % 1000 <> (l_suppkey * l_linenumber) % 1000)"
+_GRAPH = """(SELECT DISTINCT src, dst FROM (SELECT l_orderkey * 3 AS src, l_partkey * 3 + 1 AS dst FROM lineitem
+  UNION ALL SELECT l_partkey * 3 + 1, l_suppkey * 3 + 2 FROM lineitem) WHERE src IS NOT NULL AND dst IS NOT NULL)"""
 _EDGES = f"(SELECT src, dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY src) AS weight FROM {_GRAPH})"
 _VERTICES = f"(SELECT src AS id FROM {_GRAPH} UNION SELECT dst FROM {_GRAPH})"
 _DOC_WORDS = r"list_distinct(regexp_split_to_array(lower(text), '[\s\v\W]+'))"
@@ -315,19 +354,52 @@ m AS (SELECT id, sum(score) AS text_score FROM t GROUP BY id HAVING count(*) >=
 SELECT id, round(score, 6) AS score FROM (SELECT id, {score} AS score FROM m JOIN documents ON doc_id = id WHERE {where}) {_TOP}"""
 
 
+_NAME = f"lower(trim(regexp_replace({_p(2)}, ':\\d*$', ''), '.'))"
+
+
+def _named(n: int) -> str:
+    return f"regexp_extract({_NAME}, '{urls.HOST}', {n})"
+
+
+_PLD = f"{_named(2)} || '.' || {_named(3)}"
 _RECORDS = f"""
-n AS (SELECT page_id, url, {_HOST} AS host, {_NORMALIZED} AS norm, {_BARE} AS bare FROM pages),
-rec AS (SELECT key, max(alexa)::BIGINT AS alexa, max(dmoz_title) AS dmoz_title, max(sitelinks)::BIGINT AS sitelinks, list_sort(list_distinct(flatten(list(cats) FILTER (cats IS NOT NULL)))) AS cats FROM (
-  SELECT host AS key, min(page_id) + 1 AS alexa, NULL AS dmoz_title, NULL AS sitelinks, NULL::VARCHAR[] AS cats FROM n GROUP BY host
-  UNION ALL SELECT norm, NULL, max('t' || page_id), max(page_id % 50), NULL FROM n WHERE page_id % 3 = 0 GROUP BY norm
-  UNION ALL SELECT host, NULL, NULL, NULL, list(CASE WHEN page_id % 2 = 0 THEN 'adult' ELSE 'shopping' END) FROM n WHERE page_id % 5 = 0 GROUP BY host) GROUP BY key)"""
-_CATS = "list_sort(list_distinct(flatten([coalesce(u.cats, []), coalesce(q.cats, []), coalesce(h.cats, [])])))"
+n AS (SELECT page_id, url, {_HOST} AS host, {_NORMALIZED} AS norm, {_BARE} AS bare, {_PLD} AS paid FROM pages),
+rec AS (SELECT key, coalesce(max(paid_alexa), max(alexa))::BIGINT AS alexa, max(hc)::DOUBLE AS hc, max(host_rank)::DOUBLE AS host_rank, max(dmoz_title) AS dmoz_title, max(sitelinks)::BIGINT AS sitelinks,
+  coalesce(list_sort(list_distinct(list(cat) FILTER (cat IS NOT NULL))), []) AS cats FROM (
+  SELECT host AS key, CASE WHEN min(page_id) % 2 = 0 THEN min(page_id) + 1 END AS alexa, NULL AS paid_alexa, min(page_id) % 7 * 1e6 AS hc, min(page_id) % 11 * 1e3 AS host_rank, NULL AS dmoz_title, NULL AS sitelinks, NULL::VARCHAR AS cat FROM n GROUP BY host
+  UNION ALL SELECT paid, NULL, min(page_id) + 100, NULL, NULL, NULL, NULL, NULL FROM n GROUP BY paid
+  UNION ALL SELECT norm, NULL, NULL, NULL, NULL, max(CASE WHEN page_id % 3 = 0 THEN 't' || page_id END), max(page_id % 50), NULL FROM n GROUP BY norm
+  UNION ALL SELECT CASE WHEN page_id % 2 = 0 THEN host ELSE norm END, NULL, NULL, NULL, NULL, NULL, NULL, CASE page_id % 5 WHEN 0 THEN 'adult' WHEN 1 THEN 'malware' WHEN 2 THEN 'shopping' END FROM n) GROUP BY key)"""
+_JOINED = "n LEFT JOIN rec u ON u.key = norm LEFT JOIN rec q ON q.key = bare LEFT JOIN rec h ON h.key = host LEFT JOIN rec p ON p.key = paid"
+_CATS = "list_sort(list_distinct(flatten([coalesce(u.cats, []), coalesce(q.cats, []), coalesce(h.cats, []), coalesce(p.cats, [])])))"
 _CLAMP = "greatest(0.0, least(1.0, {}))"
 _TOTAL = _CLAMP.format(f"(111 - strlen({_NORMALIZED})) / 100.0::DOUBLE")
 _LENGTH = _CLAMP.format(f"(101 - strlen({_p(3)}) - strlen({_p(4)}) - strlen({_p(5)})) / 100.0::DOUBLE")
 _POPULAR = "1 - pow(ln({0}) / ln(1000001.0::DOUBLE), 2)"
+_SUBDOMAIN = f"regexp_replace(trim({_named(1)}, '.'), '^(?:www\\.)+|^www$', '')"
+_SIGNALS = {
+    "url_total_length": _TOTAL,
+    "url_path_length": _LENGTH,
+    "url_subdomain": f"CASE WHEN {_SUBDOMAIN} = '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END",
+    "alexa_top1m": f"coalesce({_POPULAR.format('h.alexa')}, 0.7::DOUBLE * ({_POPULAR.format('p.alexa')}))",
+    "wikidata_url": "least(1.0, sqrt(greatest(coalesce(u.sitelinks, 0), coalesce(q.sitelinks, 0)) / 200.0::DOUBLE))",
+    "dmoz_domain": "(coalesce(h.dmoz_title, '') <> '')::INT::DOUBLE",
+    "dmoz_url": "(coalesce(u.dmoz_title, '') <> '' OR coalesce(q.dmoz_title, '') <> '')::INT::DOUBLE",
+    "webdatacommons_hc": "CASE WHEN h.hc <> 0 THEN greatest(0.0, least(1.0, h.hc / 26214400.0::DOUBLE)) END",
+    "host_pagerank": "CASE WHEN h.host_rank <> 0 THEN greatest(0.0, least(1.0, h.host_rank / 244660.58::DOUBLE)) END",
+}
+_WEIGHTED = "(" + " + ".join(f"{signals.WEIGHTS[k]}::DOUBLE * coalesce({v}, 0.0)" for k, v in _SIGNALS.items()) + f") / {sum(signals.WEIGHTS.values())!r}::DOUBLE"
+_FACTOR = f"CASE WHEN list_contains({_CATS}, 'malware') THEN 0.001::DOUBLE WHEN list_contains({_CATS}, 'adult') THEN 0.01::DOUBLE ELSE 1.0::DOUBLE END"
+
+
+def _url_quote(x: str, safe: str) -> str:
+    out = f"url_encode({x})"
+    for ch, code in {"/": "%2F", "&": "%26", "?": "%3F", "=": "%3D"}.items():
+        out = f"replace({out}, '{code}', '{ch}')" if ch in safe else out
+    return out
+
+
 _TITLES = f"(SELECT page_id, trim(regexp_replace(regexp_extract(html, '{TITLE}', 1), '\\s+', ' ', 'g'), ' ') AS raw FROM pages)"
-_LINKS = f"(SELECT DISTINCT page_id, regexp_replace(unnest(regexp_extract_all(html, '{HREF}', 1)), '#.*', '') AS path FROM pages)"
 _RANK = "1.0::DOUBLE / (doc_id % 10 + 1)"
 
 ORACLES = {
@@ -341,8 +413,6 @@ ORACLES = {
     "grep_words": f"SELECT doc_id, array_to_string(w, ',') AS words FROM (SELECT doc_id, list_sort(list_filter([{', '.join(f"'{w}'" for w in WORDS)}], lambda x: list_contains(ws, x))) AS w FROM (SELECT doc_id, {_DOC_WORDS} AS ws FROM documents)) WHERE len(w) > 0",
     "doc_word_sets": f"SELECT doc_id, len({_DOC_WORDS})::BIGINT AS n_words FROM documents",
     "title_format": rf"SELECT page_id, CASE WHEN length(raw) <= 70 THEN raw ELSE substr(regexp_replace(substr(raw, 1, 71), '\s(\S*)$', ''), 1, 70) || '...' END AS title FROM {_TITLES}",
-    "internal_links": f"SELECT * FROM {_LINKS}",
-    "link_counts_topk": f"SELECT path, count(*) AS n, array_to_string(list(page_id ORDER BY page_id), ',') AS pages FROM {_LINKS} GROUP BY path ORDER BY n DESC, path LIMIT 20",
     "host_graph_edges": f"SELECT * FROM {_GRAPH}",
     "edge_weights": f"SELECT src, dst, round(weight, 9) AS weight FROM {_EDGES}",
     "vertices_union": f"SELECT id FROM {_VERTICES}",
@@ -351,22 +421,35 @@ ORACLES = {
     "pagerank_3iter": _steps(3, False) + " SELECT id, round(rank + 3.17e-11, 9) AS rank FROM r3",
     "pagerank_alt_3iter": _steps(3, True) + " SELECT id, round(rank + 3.17e-11, 9) AS rank FROM r3",
     "pagerank_with_orphans": _steps(3, False) + f" SELECT id, round(rank + 3.17e-11, 9) AS rank FROM r3 UNION ALL SELECT DISTINCT src, round(0.15::DOUBLE + 3.17e-11, 9) FROM {_GRAPH} WHERE src NOT IN (SELECT dst FROM {_GRAPH})",
-    "pagerank_diff_stats": _steps(1, False) + ", d AS (SELECT abs(r1.rank - r0.rank) AS d FROM r0 JOIN r1 USING (id) WHERE r0.rank <> r1.rank) SELECT round(sum(d), 6) AS sum_diff, count(*) AS count_diff, round(min(d), 6) AS min_diff, round(max(d), 6) AS max_diff, round(avg(d), 6) AS avg_diff, round(stddev(d), 6) AS stddev_diff FROM d",
+    "pagerank_diff_stats": _steps(1, False) + ", d AS (SELECT abs(r1.rank - r0.rank) AS d FROM r0 JOIN r1 USING (id) WHERE abs(r1.rank - r0.rank) > 1e-9) SELECT round(sum(d), 6) AS sum_diff, count(*) AS count_diff, round(min(d), 6) AS min_diff, round(max(d), 6) AS max_diff, round(avg(d), 6) AS avg_diff, round(stddev(d), 6) AS stddev_diff FROM d",
     "pagerank_topdiffs": _steps(1, False) + " SELECT id, 'd' || id AS domain, round(abs(round(r1.rank, 6) - round(r0.rank, 6)), 6) AS diff FROM r0 JOIN r1 USING (id) WHERE round(r1.rank, 6) <> round(r0.rank, 6) ORDER BY abs(round(r1.rank, 6) - round(r0.rank, 6)) DESC, id LIMIT 25",
-    "pagerank_unweighted": f"SELECT dst AS id, round(0.15 + 0.85 * sum(weight) + 3.17e-11, 9) AS rank FROM {_EDGES} GROUP BY dst",
+    "pagerank_unweighted": _steps(3, True) + " SELECT id, round(rank + 3.17e-11, 9) AS rank FROM r3",
+    "pagerank_by_name": _steps(3, False) + " SELECT 'd' || id AS domain, round(rank + 3.17e-11, 9) AS rank FROM r3 ORDER BY 2 DESC, 1",
+    "graph_vertex_lines": f"SELECT id || ' d' || id AS r FROM {_VERTICES}",
     "graph_text_export": f"SELECT DISTINCT src || ' ' || dst AS r FROM {_GRAPH}",
     "popularity_signal": f"SELECT c_custkey AS id, CASE WHEN c_custkey > 0 THEN round({_POPULAR.format('c_custkey')}, 6) END AS value FROM customer",
-    "metadata_merge": f"WITH {_RECORDS} SELECT key, alexa, dmoz_title, sitelinks, array_to_string(cats, ',') AS categories FROM rec",
-    "metadata_lookup": f"WITH {_RECORDS} SELECT page_id AS id, h.alexa AS domain_rank, u.dmoz_title AS url_title, q.dmoz_title AS bare_title, array_to_string({_CATS}, ',') AS categories FROM n LEFT JOIN rec u ON u.key = norm LEFT JOIN rec q ON q.key = bare LEFT JOIN rec h ON h.key = host",
-    "weighted_rank": f"""WITH {_RECORDS} SELECT page_id AS id, round((0.01 * {_TOTAL} + 0.01 * {_LENGTH} + 5 * coalesce({_POPULAR.format("h.alexa")}, 0)
-  + 3 * least(1.0, sqrt(greatest(coalesce(u.sitelinks, 0), coalesce(q.sitelinks, 0)) / 200.0::DOUBLE)) + (coalesce(h.dmoz_title, '') <> '')::INT + (coalesce(u.dmoz_title, '') <> '' OR coalesce(q.dmoz_title, '') <> '')::INT) / 12.12::DOUBLE, 6) AS rank,
-  CASE WHEN list_contains({_CATS}, 'adult') THEN 0.01::DOUBLE ELSE 1.0::DOUBLE END AS factor FROM n LEFT JOIN rec u ON u.key = norm LEFT JOIN rec q ON q.key = bare LEFT JOIN rec h ON h.key = host""",
+    "metadata_merge": f"WITH {_RECORDS} SELECT key, alexa, dmoz_title, hc, host_rank, sitelinks, CASE WHEN len(cats) > 0 THEN array_to_string(cats, ',') END AS categories FROM rec",
+    "metadata_lookup": f"WITH {_RECORDS} SELECT page_id AS id, h.alexa AS domain_rank, p.alexa AS paid_rank, u.dmoz_title AS url_title, q.dmoz_title AS bare_title, array_to_string({_CATS}, ',') AS categories FROM {_JOINED}",
+    "weighted_rank": f"WITH {_RECORDS} SELECT page_id AS id, round({_WEIGHTED}, 6) AS rank, {_FACTOR} AS factor FROM {_JOINED}",
+    "signal_breakdown": f"WITH {_RECORDS} SELECT page_id AS id, {', '.join(f'round({v}, 6) AS {k}' for k, v in _SIGNALS.items())} FROM {_JOINED}",
+    "global_rank": f"WITH {_RECORDS} SELECT page_id AS id, CASE WHEN page_id % 4 = 0 THEN 0.5::DOUBLE ELSE round(({_WEIGHTED}) * {_FACTOR}, 6) END AS rank FROM {_JOINED}",
+    "record_overrides": f"WITH {_RECORDS} SELECT page_id AS id, page_id + 1 AS domain_rank, h.host_rank, p.alexa AS paid_rank FROM {_JOINED}",
+    "url_domains": f"SELECT url, {_named(3)} AS suffix, {_named(2)} AS label, {_named(1)} AS subdomain, {_PLD} AS pld, {_SUBDOMAIN} AS bare_subdomain FROM {_ALL_URLS}",
+    "url_quoted": f"""SELECT page_id, CASE WHEN regexp_full_match(w, '[\\x00-\\x7F]*') THEN home || '/a/' || w || '?q=' || w || '&x=1'
+  ELSE home || {_url_quote("'/a/' || w", "/")} || '?' || {_url_quote("'q=' || w || '&x=1'", "&?=")} END AS quoted
+  FROM (SELECT page_id, regexp_extract(url, '^(\\w+://[^/?#]*)', 1) AS home, regexp_extract(html, '<p><b>([^ <&]+)', 1) AS w FROM pages)""",
+    "url_schemes_and_names": f"""SELECT url, regexp_replace(url, '^https?://', '') AS no_scheme, regexp_replace(url, '#.*', '') AS no_fragment,
+  array_to_string({_url_words("regexp_extract(regexp_replace(url, '([^/.])[.][^./]*$', '\\1'), '([^/]*)$', 1)")}, ' ') AS name_words,
+  array_to_string({_url_words(_SUBDOMAIN)}, ' ') AS subdomain_words, array_to_string({_url_words(_named(2))}, ' ') AS paid_words FROM {_ALL_URLS}""",
+    "split_words": "SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> ''))::BIGINT AS n_words FROM documents",
+    "title_and_text_words": f"SELECT doc_id, len(list_distinct(list_concat(regexp_split_to_array(lower(source), '[\\s\\v\\W]+'), {_DOC_WORDS})))::BIGINT AS n_words FROM documents",
+    "grep_lines": f"""SELECT array_to_string(w, ',') || ' http://doc/' || doc_id AS r FROM (SELECT doc_id, list_sort(list_filter([{', '.join(f"'{w}'" for w in [*WORDS, "src1"])}], lambda x: list_contains(ws, x))) AS w
+  FROM (SELECT doc_id, list_concat([lower(source)], {_DOC_WORDS}) AS ws FROM documents)) WHERE len(w) > 0""",
     "union_sources_later_wins": "SELECT doc_id AS id, 'documents' AS origin FROM documents WHERE doc_id NOT IN (SELECT item_id FROM benchmark) UNION ALL SELECT item_id, 'benchmark' FROM benchmark",
     "per_source_maxdocs": "SELECT doc_id, source AS source_path FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 3",
     "search_bm25": _search_sql(SEARCH, "text_score"),
     "search_rank_lang": _search_sql(SEARCH, f"text_score * {_RANK} * CASE WHEN lang = 'fr' THEN 1.0 ELSE {search.OTHER_LANGUAGE} END"),
     "search_min_should_match": _search_sql("the and of src1 nosuchword", f"text_score * {_RANK}", "source = 'src1'"),
-    "page_titles": f"SELECT page_id, len(regexp_extract_all(html, '{HREF}', 1))::BIGINT AS n_internal, 0::BIGINT AS n_external FROM pages",
 }
 QUERIES = {name: globals()[name] for name in ORACLES}
 if not all(re.fullmatch(r"\w+", name) for name in QUERIES):
