@@ -10,7 +10,7 @@ from trawl.functions import html
 from trawl.operators import filters, links, lookup, search, signals
 from trawl.operators import pagerank as pr
 from trawl.operators.pagerank import diff_stats, named, pagerank, step, top_diffs, unweighted, with_inlinks
-from trawl.plans import pipeline
+from trawl.plans import pipeline, sinks
 from trawl.plans.plugins import load, parse_spec
 from trawl.sources import archives, datasets
 
@@ -320,3 +320,41 @@ def test_overrides_take_the_place_of_records(spark, tmp_path):
 def test_pages_that_fail_are_told(spark, monkeypatch, tmp_path):
     df = pipeline.run(spark, [("corpus", {"docs": GRAPH_DOCS[:1]})], [f"dump.DocumentMetadata:output={tmp_path}/d"])
     assert df.columns[:4] == ["id", "url", "rank", "error"] and df.first().error is None
+
+
+def test_endpoints_and_registries(spark, tmp_path):
+    record = lambda n: f'<record><header><identifier>{n}</identifier></header><metadata><oai_dc:dc xmlns:oai_dc="o" xmlns:dc="d"><dc:title>T{n}</dc:title><dc:identifier>http://r.org/{n}</dc:identifier></oai_dc:dc></metadata></record>'
+    answers = {
+        "http://list/": "<BaseURLs><baseURL>http://one/oai</baseURL><baseURL>http://two/oai</baseURL></BaseURLs>",
+        "http://one/oai?verb=ListRecords&metadataPrefix=oai_dc": f"<OAI-PMH><ListRecords>{record(1)}{record(2)}<resumptionToken>a|b</resumptionToken></ListRecords></OAI-PMH>",
+        "http://one/oai?verb=ListRecords&resumptionToken=a%7Cb": f"<OAI-PMH><ListRecords>{record(3)}<resumptionToken/></ListRecords></OAI-PMH>",
+        "http://two/oai?verb=ListRecords&metadataPrefix=oai_dc": f"<OAI-PMH><ListRecords>{record(4)}</ListRecords></OAI-PMH>",
+    }
+    fetch = lambda u: (200, {}, answers[u].encode())
+    for args, expected in (({"list": "http://list/"}, {1, 2, 3, 4}), ({"url": "http://two/oai"}, {4}), ({"urls": ["http://one/oai"]}, {1, 2, 3})):
+        rows = sources.read(spark, "oai", {**args, "fetch": fetch}).collect()
+        assert {r.url for r in rows} == {f"http://r.org/{n}" for n in expected} and all(b"<title>T" in r.body for r in rows)
+
+
+def test_packed_categories_listings_and_tables(spark, tmp_path):
+    import gzip
+    import tarfile
+
+    (tmp_path / "b" / "adult").mkdir(parents=True)
+    (tmp_path / "b" / "adult" / "domains").write_text("x.com\ny.com\n")
+    (tmp_path / "b" / "adult" / "usage").write_text("no list\n")
+    with tarfile.open(f"{tmp_path}/lists.tar.gz", "w:gz") as out:
+        out.add(f"{tmp_path}/b", "blacklists")
+    for path in (f"{tmp_path}/lists.tar.gz", f"{tmp_path}/b"):
+        assert {r.key: r.ut1_blacklist for r in datasets.categories(spark, path).collect()} == {"x.com": ["adult"], "y.com": ["adult"]}
+    archives.write_archive([{"url": "http://a.org/", "content": "a"}], f"{tmp_path}/1.warc.gz")
+    (tmp_path / "crawl-data" / "V-1").mkdir(parents=True)
+    (tmp_path / "crawl-data" / "V-1" / "warc.paths.gz").write_bytes(gzip.compress(b"1.warc.gz\n"))
+    assert [r.url for r in sources.read(spark, "commoncrawl", {"root": str(tmp_path), "version": "V-1"}).collect()] == ["http://a.org/"]
+    assert sinks.sql(spark, "SELECT count(*) AS n FROM {t} JOIN {u} USING (id)", t=spark.range(5), u=spark.range(3)).first().n == 3
+
+
+def test_index_of_popular_hosts(spark, tmp_path):
+    (tmp_path / "top.csv").write_text("1,example.com\n2,example.org\n300,example.net\n")
+    pipeline.popular_index(spark, f"{tmp_path}/top.csv", f"{tmp_path}/i", 100)
+    assert [(r.url, round(r.rank, 4)) for r in pipeline.search_debug(spark, f"{tmp_path}/i", "example").collect()] == [("http://example.com/", 0.4999), ("http://example.org/", 0.4998)]

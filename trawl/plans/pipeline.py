@@ -154,6 +154,19 @@ def add_to_index(spark: SparkSession, source_specs: Sequence[str | tuple[str, di
     search.write_index(sources.later_wins(texts), index, add=True)
 
 
+def popular_index(spark: SparkSession, popularity_path: str, index: str, n: int | None = None) -> None:
+    """A small index for development: the pages of the n most popular hosts, ranked 0.5 - 0.0001 * place."""
+    from trawl.sources.datasets import popularity
+
+    listed = popularity(spark, popularity_path).where("key is not null")
+    if n is not None:
+        listed = listed.where(F.col("alexa_top1m") <= n)
+    address = F.concat(F.lit("http://"), "key", F.lit("/"))
+    docs = described(parsed_text(listed.select(address.alias("url"), F.lit("").alias("html"), "alexa_top1m", F.lit(2).alias("index_level"))))
+    place = F.greatest(F.lit(0.0), F.lit(0.5) - F.lit(0.0001) * F.col("alexa_top1m"))
+    search.write_index(index_text(docs.withColumn("rank", place.cast("float"))), index)
+
+
 def observed(df: DataFrame, name: str = "documents") -> tuple[DataFrame, Observation]:
     """`df` and an observation that counts its rows as they pass."""
     seen = Observation(name)

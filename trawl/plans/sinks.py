@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def save(df: DataFrame, path: str, format: str = "parquet", coalesce: int | str = 0, gzip: bool | str = False, mode: str = "errorifexists") -> None:
@@ -14,3 +14,8 @@ def save(df: DataFrame, path: str, format: str = "parquet", coalesce: int | str
     if format != "parquet" and bool(int(gzip)):
         writer = writer.option("compression", "gzip")
     getattr(writer, format)(path)
+
+
+def sql(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
+    """A query over DataFrames by the names that it has in braces: sql(spark, "SELECT * FROM {t}", t=df)."""
+    return spark.sql(query, **tables)

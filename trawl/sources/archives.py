@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from trawl.scratch import exists
 from trawl.sources import PAGE, per_source
 
 LATEST = "CC-MAIN-2016-44"
@@ -193,10 +194,11 @@ def _read(spark: SparkSession, paths: list[str], maxdocs: int | str | None, skip
 def crawl_archive(spark: SparkSession, manifest: str | None = None, limit: int | str | None = None, skip: int | str = 0, version: str = "latest", maxdocs: int | str | None = None, root: str = ".") -> DataFrame:
     """Files skip .. skip + limit of a crawl's manifest (S3).
 
-    The manifest is a text file of archive paths; those are looked for below `root`.
-    `version` names the manifest `<root>/<version>.paths` when none is given.
+    The manifest is a text file of archive paths, packed or plain; those are looked for
+    below `root`.  Without one, `version` names `<root>/<version>.paths`, or the listing
+    `<root>/crawl-data/<version>/warc.paths.gz` that crawls are published with.
     """
-    name = manifest or f"{root}/{LATEST if version == 'latest' else version}.paths"
+    name = manifest or _listing(spark, root, LATEST if version == "latest" else version)
     found = [r.value.strip() for r in spark.read.text(name).collect() if r.value.strip()]
     end = None if limit is None else int(skip) + int(limit)
     chosen = [p if "://" in p or os.path.isabs(p) else f"{root}/{p}" for p in found[int(skip) : end]]
@@ -205,6 +207,11 @@ def crawl_archive(spark: SparkSession, manifest: str | None = None, limit: int |
     return _read(spark, chosen, maxdocs)
 
 
+def _listing(spark: SparkSession, root: str, version: str) -> str:
+    published = f"{root}/crawl-data/{version}/warc.paths.gz"
+    return published if exists(spark, published) else f"{root}/{version}.paths"
+
+
 def write_archive(documents: Iterable[Mapping], path: str, compress: bool | None = None) -> str:
     """An archive of documents with url, content and optional headers (K9)."""
     gz = not path.endswith(".warc") if compress is None else compress

@@ -8,6 +8,8 @@ files are unpacked by `zip_lines`.
 from __future__ import annotations
 
 import io
+import re
+import tarfile
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -64,9 +66,30 @@ def directory(spark: SparkSession, path: str) -> DataFrame:
     return df.where("_about is not null").select(urls.normalized(urls.quoted(F.col("_about"))).alias("key"), empty("d:Title").alias("dmoz_title"), empty("d:Description").alias("dmoz_description"))
 
 
+def tar_lines(spark: SparkSession, path: str) -> DataFrame:
+    """`value` and `file`, a line of any member of tar files, packed or plain."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0).to_pylist():
+                with tarfile.open(fileobj=io.BytesIO(content)) as archive:
+                    for member in archive:
+                        if not member.isfile():
+                            continue
+                        handle = archive.extractfile(member)
+                        while lines := handle.readlines(4_000_000):
+                            values = pa.array([x.decode("utf-8", "replace").rstrip("\r\n") for x in lines])
+                            yield pa.RecordBatch.from_arrays([values, pa.array([member.name] * len(lines))], ["value", "file"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "value string, file string")
+
+
 def categories(spark: SparkSession, path: str) -> DataFrame:
-    """Folders of `domains` and `urls` files, each folder a category."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "{domains,urls}").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    """Folders of `domains` and `urls` files, each folder a category, or a tar file of them."""
+    if re.search(r"\.(tar|tar\.gz|tgz)$", path):
+        lines = tar_lines(spark, path).where(F.col("file").rlike("(^|/)(domains|urls)$"))
+    else:
+        lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "{domains,urls}").text(path).select("value", F.col("_metadata.file_path").alias("file"))
     key = urls.normalized(urls.quoted(F.concat(F.lit("http://"), F.trim("value"))))
     named = lines.where("trim(value) <> ''").select(key.alias("key"), F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("category"))
     return named.groupBy("key").agg(F.array_sort(F.collect_set("category")).alias("ut1_blacklist"))

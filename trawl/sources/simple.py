@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from itertools import islice
+from urllib.parse import quote
+from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -71,20 +75,69 @@ def fetched(spark: SparkSession, url: str | None = None, urls: list[str] | None
     return listed.repartition(min(partitions, max(1, len(wanted)))).mapInArrow(run, PAGE).withColumn("forced_level", F.lit(2))
 
 
-def oai_records(spark: SparkSession, path: str | None = None, oai: str | None = None, maxdocs: int | str | None = None) -> DataFrame:
-    """Records of a repository's dumps in Dublin Core XML.
-
-    Deleted records and those without a URL as identifier are skipped; the page is made
-    of title and description.
+REGISTRY = "http://www.openarchives.org/pmh/registry/ListFriends"
+_RECORD = re.compile(r"<record\b.*?</record>", re.S)
+_TOKEN = re.compile(r"<resumptionToken[^>]*>\s*([^<\s]+)\s*</resumptionToken>")
+DUBLIN_CORE = "header struct<_status:string>, metadata struct<`oai_dc:dc`:struct<`dc:identifier`:array<string>,`dc:title`:array<string>,`dc:description`:array<string>>>"
+
+
+def registered(text: str) -> list[str]:
+    """The endpoints that a registry's XML lists."""
+    root = ElementTree.fromstring(text)
+    return [x.text.strip() for x in root if x.tag == "baseURL" and x.text] if root.tag == "BaseURLs" else []
+
+
+def harvested(endpoint: str, fetch) -> Iterator[str]:
+    """The record elements of an endpoint, answer by answer until there is no resumption token."""
+    ask = "verb=ListRecords&metadataPrefix=oai_dc"
+    while ask:
+        status, _, body = fetch(f"{endpoint}?{ask}")
+        if status != 200:
+            raise OSError(f"{endpoint} answered {status}")
+        answer = body.decode("utf-8", "replace")
+        yield from _RECORD.findall(answer)
+        token = _TOKEN.search(answer)
+        ask = f"verb=ListRecords&resumptionToken={quote(token.group(1))}" if token else None
+
+
+def oai_records(
+    spark: SparkSession,
+    path: str | None = None,
+    url: str | None = None,
+    urls: list[str] | None = None,
+    list: str | None = None,
+    oai: str | None = None,
+    maxdocs: int | str | None = None,
+    fetch=_fetch,
+) -> DataFrame:
+    """Records of a repository's dumps in Dublin Core XML, or of its endpoints.
+
+    `path` is a dump; `url` and `urls` are endpoints, `list` the address of a registry of
+    them, or `openarchives`.  A task harvests one endpoint.  Deleted records and those
+    without a URL as identifier are skipped; the page is made of title and description.
     """
-    schema = "header struct<_status:string>, metadata struct<`oai_dc:dc`:struct<`dc:identifier`:array<string>,`dc:title`:array<string>,`dc:description`:array<string>>>"
-    df = spark.read.format("xml").option("rowTag", "record").schema(schema).load(path or oai)
+    endpoints = [url] if url else urls
+    if list:
+        endpoints = registered(fetch(REGISTRY if list == "openarchives" else list)[2].decode("utf-8", "replace"))
+    if endpoints is not None:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for endpoint in batch.column(0).to_pylist():
+                    found = harvested(endpoint, fetch)
+                    while some := [*islice(found, 500)]:
+                        yield pa.RecordBatch.from_arrays([pa.array([endpoint] * len(some)), pa.array(some)], ["endpoint", "record"])
+
+        asked = spark.createDataFrame([(x,) for x in endpoints], "endpoint string").repartition(max(1, len(endpoints)))
+        df = asked.mapInArrow(run, "endpoint string, record string").select("endpoint", F.from_xml("record", F.lit(DUBLIN_CORE), {"rowTag": "record"}).alias("r")).select("endpoint", "r.*")
+    else:
+        df = spark.read.format("xml").option("rowTag", "record").schema(DUBLIN_CORE).load(path or oai).withColumn("endpoint", F.lit(path or oai))
     dc = F.col("metadata.`oai_dc:dc`")
-    url = F.get(F.filter(dc["dc:identifier"], lambda x: x.rlike("^https?://")), 0)
+    address = F.get(F.filter(dc["dc:identifier"], lambda x: x.rlike("^https?://")), 0)
     plain = lambda x: F.replace(F.replace(F.coalesce(F.array_join(x, " "), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     page = F.concat(F.lit("<html><head><title>"), plain(dc["dc:title"]), F.lit("</title></head><body><p>"), plain(dc["dc:description"]), F.lit("</p></body></html>"))
     rows = df.where(F.coalesce(F.col("header._status"), F.lit("")) != "deleted").select(
-        url.alias("url"), F.lit(None).cast("map<string,string>").alias("headers"), F.lit("html").alias("doc_type"), F.encode(page, "UTF-8").alias("body"), F.lit(path or oai).alias("source_path"), F.monotonically_increasing_id().alias("pos")
+        address.alias("url"), F.lit(None).cast("map<string,string>").alias("headers"), F.lit("html").alias("doc_type"), F.encode(page, "UTF-8").alias("body"), F.col("endpoint").alias("source_path"), F.monotonically_increasing_id().alias("pos")
     )
     return per_source(rows.where("url is not null"), maxdocs).withColumn("forced_level", F.lit(2))
 
