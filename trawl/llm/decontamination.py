@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import BROADCAST_BYTES, c
+from trawl.llm.common import BROADCAST_BYTES, c, spread
 from trawl.llm.hashing import FOLD, SLICE_BYTES, U, WORD_BYTE, slices, utf8
 
 Q = 12
@@ -237,7 +237,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, edit_share:
                 ids = batch.column(0).take(pa.array([r for r, _, _ in found], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([i for _, i, _ in found], pa.int64()), pa.array([e for _, _, e in found], pa.int64())], ["doc_id", "item_id", "edits"])
 
-        found = docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").alias("text")).mapInArrow(run, "doc_id long, item_id long, edits long")
+        found = spread(docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").alias("text"))).mapInArrow(run, "doc_id long, item_id long, edits long")
         out = found if out is None else out.unionByName(found)
     return spark.createDataFrame([], "doc_id long, item_id long, edits long") if out is None else out
 

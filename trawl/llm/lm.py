@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.bpe import DEFAULT_VOCABULARY, encoder
-from trawl.llm.common import c
+from trawl.llm.common import c, spread
 from trawl.llm.hashing import U
 from trawl.scratch import new_path, written
 
@@ -111,7 +111,7 @@ def tokens_of(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFram
                 found = own.encode_all(pc.fill_null(part.column(1), "").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["doc_id", "tokens"])
 
-    return docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").alias("text")).mapInArrow(run, "doc_id long, tokens binary")
+    return spread(docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").alias("text"))).mapInArrow(run, "doc_id long, tokens binary")
 
 
 def trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

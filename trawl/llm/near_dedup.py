@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trawl.llm.common import c, fresh, row_key
+from trawl.llm.common import c, fresh, row_key, spread
 from trawl.llm.hashing import U, Words, mix, prefix, range_hash, slices, utf8
 from trawl.scratch import written
 
@@ -139,7 +139,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                     ["doc_id", "key", "content", "content2", "bands"],
                 )
 
-    return docs.select(c("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), c("text").alias("text")).mapInArrow(run, SIGNED)
+    return spread(docs.select(c("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), c("text").alias("text"))).mapInArrow(run, SIGNED)
 
 
 def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:

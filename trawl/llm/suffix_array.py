@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trawl.llm.common import c, row_key
+from trawl.llm.common import c, row_key, spread
 from trawl.llm.hashing import U, Words, char_positions, mix, prefix, range_hash, slices, utf8
 from trawl.scratch import written
 
@@ -202,7 +202,7 @@ def _signed(docs: DataFrame, min_words: int) -> DataFrame:
                     ["doc_id", "row", "content", "content2", "start", "end", "keys"],
                 )
 
-    return docs.select(c("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), c("text").alias("text")).mapInArrow(run, "doc_id long, row long, content long, content2 long, start long, end long, keys array<long>")
+    return spread(docs.select(c("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), c("text").alias("text"))).mapInArrow(run, "doc_id long, row long, content long, content2 long, start long, end long, keys array<long>")
 
 
 class _Chosen:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.bpe import CACHE_ENTRIES, DEFAULT_VOCABULARY, PATTERN, ChunkCache, _Uncut, encoding
-from trawl.llm.common import c
+from trawl.llm.common import c, spread
 
 HEAD = 5
 #: White space as the pre-tokenizer has it; `str.isspace` knows four characters more.
@@ -214,4 +214,4 @@ def token_counts(docs: DataFrame, budgets: Sequence[int] = BUDGETS, vocabulary:
                 names = ("doc_id", "n_chars", "n_tokens", "delta_bytes", "prefix_deltas", "budget_cuts")
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names)
 
-    return docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").alias("text")).mapInArrow(run, SCHEMA)
+    return spread(docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").alias("text"))).mapInArrow(run, SCHEMA)
