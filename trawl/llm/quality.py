@@ -11,6 +11,7 @@ its text is then the kept lines.
 
 A null, empty or blank text is rejected.  Repeated rows are judged alike.
 All columns stay; `text` is cleaned and `n_chars`, where present, follows it.
+An empty table stays empty.  Lines are cut at line feeds, and words at spaces.
 """
 
 from __future__ import annotations
@@ -31,7 +32,13 @@ MIN_KEPT = 0.5
 ENDING = r"""[.!?…:;。！？]["'”’»)\]]*$"""
 SYMBOL_RUN = r"[^\p{L}\p{N}\s]{2,}"
 REPEAT = r"(?:^| )([^ ]++)(?= \1(?: |$))"
-BOILERPLATE = ("licensed under", "released under the", "all rights reserved", "copyright (c)", "©", "terms of use", "terms of service", "privacy policy", "cookie policy", "use of cookies", "javascript", "lorem ipsum")
+#: In the languages of the corpus: English, French, German, Spanish.
+BOILERPLATE = (
+    "licensed under", "released under the", "all rights reserved", "copyright (c)", "©", "terms of use", "terms of service", "privacy policy", "cookie policy", "use of cookies", "javascript", "lorem ipsum",
+    "tous droits réservés", "mentions légales", "politique de confidentialité", "utilisation de cookies",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "verwendung von cookies",
+    "todos los derechos reservados", "política de privacidad", "términos de uso", "uso de cookies",
+)
 
 
 def good_line(line: Column) -> Column:
