@@ -28,7 +28,7 @@ def _linked(spark: SparkSession, d: str) -> DataFrame:
     out = pages
     for k in (1, 2):
         out = out.join(targets.select((F.col("page_id") - k).alias("page_id"), F.col("to").alias(f"to{k}")), "page_id", "left")
-    link = lambda name, words: F.coalesce(F.concat(F.lit('<a href="'), F.col(name), F.lit(f'">{words}</a>')), F.lit(""))
+    link = lambda name, words: F.coalesce(F.concat(F.lit(' <a href="'), F.col(name), F.lit(f'">{words}</a>')), F.lit(""))
     return out.select("page_id", "url", F.concat("html", link("to1", "next"), link("to1", "next"), link("to2", "the one behind")).alias("html"))
 
 
@@ -195,12 +195,12 @@ def plugin_outputs(spark, d):
     path, out = new_path(spark, "plugins"), None
     _linked(spark, d).select("url", "html").write.parquet(f"{path}/pages")
     names = ("grep", "graph", "back")
-    specs = [f"grep.Words:words=the und les,output={path}/grep", f"webgraph.DomainToDomain:output={path}/graph,coalesce=2", f"backlinks.MostExternallyLinkedPages:domain=example-none.com,output={path}/back"]
+    specs = [f"grep.Words:words=the und les,output={path}/grep", f"webgraph.DomainToDomain:output={path}/graph,coalesce=2", f"backlinks.MostExternallyLinkedPages:domain=example.org,output={path}/back"]
     pipeline.run(spark, [("table", {"path": f"{path}/pages"})], specs)
     for name in names:
         own = spark.read.schema("value string").text(f"{path}/{name}").select(F.lit(name).alias("plugin"), F.col("value").alias("r"))
         out = own if out is None else out.unionByName(own)
-    return out.where("plugin <> 'grep'")
+    return out
 
 
 def metadata_rescan(spark, d):
@@ -339,7 +339,10 @@ ORACLES = {
     "imported_datasets": "SELECT 'd' || c_custkey || '.com' AS key, c_custkey AS alexa, (c_custkey % 97)::DOUBLE AS host_rank, (c_custkey % 89)::DOUBLE AS hc, 'L' || c_custkey AS wikidata_title, 2::BIGINT AS sitelinks FROM customer",
     "pipeline_metadata": f"SELECT url, round(({_PLAIN_RANK})::FLOAT::DOUBLE, 5) AS rank, NULL::VARCHAR AS error FROM pages",
     "pipeline_index_levels": f"SELECT url, {_CUT.format(_TITLED, text.TITLE_CHARS, text.TITLE_CHARS + 1)} AS title, ends_with({_p(2)}, 'example.com') AS has_body FROM pages WHERE ends_with({_p(2)}, 'example.com') OR ends_with({_p(2)}, 'example.org')",
-    "plugin_outputs": f"SELECT 'graph' AS plugin, d1 || ' ' || d2 AS r FROM {_PAIRS}",
+    "plugin_outputs": f"""SELECT 'graph' AS plugin, d1 || ' ' || d2 AS r FROM {_PAIRS}
+  UNION ALL SELECT 'back', url_to || ' ' || links || ' ' || sources FROM ({_backlinks("example.org")})
+  UNION ALL SELECT 'grep', array_to_string(w, ',') || ' ' || url FROM (SELECT url, list_sort(list_filter(['the', 'und', 'les'], lambda x: list_contains(ws, x))) AS w
+    FROM (SELECT url, regexp_split_to_array(lower({_TITLED} || ' ' || array_to_string({_GROUPS}, ' ') || CASE WHEN page_id + 2 IN (SELECT page_id FROM pages) THEN ' the' ELSE '' END), '[\\s\\v\\W]+') AS ws FROM pages)) WHERE len(w) > 0""",
     "metadata_rescan": f"SELECT d1 || ' ' || d2 AS r FROM {_PAIRS}",
     "observed_rows": "SELECT count(*) AS n FROM documents",
     "search_site": _search_sql("the and blees", f"text_score * {_RANK}", "source = 'src1'"),
