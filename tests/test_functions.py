@@ -229,3 +229,18 @@ def test_languages(spark):
     w = one(spark, language.weights(F.col("t")), t=("string", both))
     assert sorted(w) == ["de", "fr"] and w["de"] > w["fr"]
     json.dumps(w)
+
+
+def test_public_suffixes(spark):
+    expected = {
+        "http://www.bbc.co.uk/": ("www", "bbc", "co.uk", "bbc.co.uk"),
+        "http://a.b.shop.com.qa/x": ("a.b", "shop", "com.qa", "shop.com.qa"),
+        "https://news.gov.mt:8080/": ("", "news", "gov.mt", "news.gov.mt"),
+        "http://firm.co.tz": ("", "firm", "co.tz", "firm.co.tz"),
+        "http://com.de/": ("", "com", "de", "com.de"),
+        "http://x.example.dev/": ("x", "example", "dev", "example.dev"),
+        "http://localhost/": ("", "localhost", "", "localhost."),
+    }
+    u = F.col("u")
+    df = spark.createDataFrame([(x,) for x in expected], "u string").select("u", urls.subdomain(u).alias("a"), urls.domain_without_suffix(urls.domain(u)).alias("b"), urls.suffix(u).alias("c"), urls.pld(u).alias("d"))
+    assert {r.u: (r.a, r.b, r.c, r.d) for r in df.collect()} == expected

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 #: RFC 3986, appendix B.  `parse_url` rejects hosts that the web does have.
 SPLIT = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
 
-#: Public suffixes of two labels (a subset of the public list; any other suffix is the last label).
+#: Countries whose registries have the plain second levels, and those.
+PLAIN_SECONDS = "com net org gov edu mil"
+PLAIN_COUNTRIES = "ag ai al az ba bb bh bm bn bo bs bt bz ci cu cw cy dm do dz et fj ge gh gi gn gt gu gy hn ht im iq is jm jo kg ki km kw ky kz la lb lc lk lr lv ly mg mk ml mo ms mt mu mv mw nf ni np nr om pa pf pg pr ps py qa ro sa sb sc sd sl sn so st sv sy tj tm tn to tt ug uz vc vi vu ws ye zm"
+#: Other public suffixes of two labels (a subset of the public list; any other suffix is the last label).
 SUFFIXES = tuple(
     f"{second}.{top}"
     for top, seconds in {
@@ -52,6 +55,49 @@ SUFFIXES = tuple(
         "ve": "com co net org gob",
         "uy": "com net org gub edu",
         "ec": "com net org gob edu",
+        "ae": "co net org sch ac gov mil",
+        "ir": "ac co gov id net org sch",
+        "rs": "co org edu ac gov in",
+        "hr": "com from iz name",
+        "ma": "co net gov org ac press",
+        "mz": "ac adv co edu gov mil net org",
+        "na": "co com org",
+        "rw": "ac co coop gov mil net org",
+        "sz": "ac co org",
+        "tz": "ac co go hotel info me mil mobi ne or sc tv",
+        "zw": "ac co gov mil org",
+        "bw": "co org",
+        "ls": "ac biz co edu gov info net org sc",
+        "cr": "ac co ed fi go or sa",
+        "gg": "co net org",
+        "je": "co net org",
+        "lt": "gov",
+        "lu": "gov",
+        "be": "ac",
+        "se": "org pp tm",
+        "no": "co gs mil dep kommune",
+        "fi": "aland",
+        "ee": "edu gov riik lib med com pri aip org fie",
+        "by": "gov mil com of",
+        "md": "gov",
+        "mm": "com net org gov edu",
+        "kh": "com net org gov edu mil per",
+        "bd": "com net org gov edu mil ac",
+        "sk": "gov",
+        "cl": "co gob gov mil",
+        "ni": "ac co gob in nom",
+        "pa": "ac gob sld abo ing med nom",
+        "sv": "gob red",
+        "gt": "gob ind",
+        "bo": "gob tv web",
+        "do": "art gob sld web",
+        "cy": "ac biz ltd press pro tm",
+        "mt": "press",
+        "lk": "ac assn grp hotel int ltd ngo sch soc web",
+        "ro": "arts firm info nom nt rec store tm www",
+        "ug": "ac co go ne or sc",
+        "ly": "id med plc sch",
+        "tn": "ens fin ind info intl mincom nat perso tourism",
     }.items()
     for second in seconds.split()
 )
@@ -97,7 +143,9 @@ def quoted(url: Column) -> Column:
 
 
 #: Subdomain, label and public suffix of a host; the shortest subdomain that leaves both.
-HOST = r"^(?:(.*?)\.)??([^.]+?)(?:\.(" + "|".join(x.replace(".", r"\.") for x in SUFFIXES) + r"|[^.]+))?$"
+HOST = (
+    r"^(?:(.*?)\.)??([^.]+?)(?:\.((?:" + PLAIN_SECONDS.replace(" ", "|") + r")\.(?:" + PLAIN_COUNTRIES.replace(" ", "|") + ")|" + "|".join(x.replace(".", r"\.") for x in SUFFIXES) + r"|[^.]+))?$"
+)
 
 
 def _host_part(host: Column, n: int) -> Column:
