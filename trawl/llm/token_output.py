@@ -152,7 +152,7 @@ def token_output(
     """
     spark = docs.sparkSession
     # The table is as large as all tokens and read once: it is worth packing well.
-    table = written(packed(docs, sequence_tokens, vocabulary), "packed", compression="zstd", **{"parquet.compression.codec.zstd.level": "6"})
+    table = written(packed(docs, sequence_tokens, vocabulary), "packed", compression="zstd", **{"parquet.compression.codec.zstd.level": "6", "parquet.page.size": "8388608"})
     counted = table.groupBy("part").agg(F.first("file").alias("file"), F.first("block").alias("block"), F.count(F.lit(1)).alias("n")).collect()
     counted.sort(key=lambda r: (_natural(r.file), r.block, r.part))
     parts = np.array([r.part for r in counted], dtype=np.int64)
