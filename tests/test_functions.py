@@ -1,11 +1,13 @@
 import json
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from trawl.functions import encoding, html, ids, language, text, urls
+from trawl.scratch import PAGES_BYTES, page_batches
 
 URLS = [
     ("https://www.test.com", "normalized", "test.com"),
@@ -64,6 +66,28 @@ def test_parts_are_quoted_before_they_are_joined(spark):
         assert one(spark, made, w=("string", word)) == quoted
 
 
+def test_pages_are_parsed_slice_by_slice(monkeypatch):
+    alive, seen = [], html._parsed
+    monkeypatch.setattr(html, "_parsed", lambda texts, links: alive.append(sum(len(t or "") for t in texts)) or seen(texts, links))
+    pages = [f"<title>t{n}</title>" + "x" * 300_000 for n in range(10)] + [None, "y" * 3_000_000, ""] + ["<p>z"] * 600
+    found = html.parse_text.func(pa.array(pages), pa.array(["http://a.org/"] * len(pages))).to_pylist()
+    assert [x["title"] for x in found[:10]] == [f"t{n}" for n in range(10)] and len(found) == len(pages) and found[-1]["word_groups"][0]["words"] == "z"
+    assert sum(alive) == sum(len(p or "") for p in pages) and sorted(alive)[-2] <= html.SLICE_BYTES and len(alive) >= 8
+
+
+def test_whole_pages_go_to_python_in_batches_of_few_bytes(spark):
+    @F.arrow_udf("long")
+    def together(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes] * len(texts))
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    pages = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1_000_000).alias("t"))
+    with page_batches(pages):
+        assert pages.select(together("t").alias("n")).agg(F.max("n")).first()[0] < 2 * PAGES_BYTES
+    assert spark.conf.get(key) == before
+
+
 def test_murmur_vectors_and_ids(spark):
     values = [b"hello", b"hello, world", b"The quick brown fox jumps over the lazy dog", b"test.com", b"wordpress.org", b"en"]
     signed = lambda x: x - (1 << 32) if x >> 31 else x

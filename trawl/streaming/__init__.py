@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trawl.plans import pipeline
+from trawl.scratch import page_batches
 
 
 def page_stream(spark: SparkSession, folder: str, files_per_trigger: int = 64) -> DataFrame:
@@ -19,6 +20,7 @@ def ingest(pages: DataFrame, output: str, checkpoint: str, records: DataFrame |
 
     def write(batch: DataFrame, n: int) -> None:
         docs = pipeline.enriched(pipeline.parsed_text(batch.withColumn("index_level", F.lit(2))), records)
-        pipeline.index_text(docs).write.mode("overwrite").parquet(f"{output}/batch={n}")
+        with page_batches(docs):
+            pipeline.index_text(docs).write.mode("overwrite").parquet(f"{output}/batch={n}")
 
     return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
